@@ -229,8 +229,7 @@ class FoldTargetEncoder(Estimator):
             "level",
             _sum_of(F.col("parts"), lambda p: p["rows"]).cast("long").alias("n"),
             *[
-                _per_fold(self.k, lambda f, s=s: F.coalesce(_target_stat(s, _others(f)), F.lit(defaults[s])))
-                .alias(s)
+                _per_fold(self.k, self._statistic(s, defaults[s])).alias(s)
                 for s in partial_stats
             ],
         )
@@ -240,6 +239,10 @@ class FoldTargetEncoder(Estimator):
             self.features, self.fold, self.k, self.stats, defaults, materialize(table, "targets")
         )
 
+    @staticmethod
+    def _statistic(stat: str, default: float):
+        return lambda f: F.coalesce(_target_stat(stat, _others(f)), F.lit(default))
+
     def _defaults(self, labelled: DataFrame) -> dict[str, float]:
         row = global_profile(labelled, "y", self.stats).first()
         return {s: float(row[f"y_{s}"]) for s in self.stats}
