@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,3 +55,17 @@ def lookup_level(
     """``attach`` for a table keyed by the text form of the key (column ``level``)."""
     keyed = rows.withColumn("level", level_of(key))
     return attach(keyed, model, "level", facts, spread_by or rows.columns).drop("level")
+
+
+def by_level(stats: DataFrame, key: Key) -> DataFrame:
+    """Re-key a one-row-per-key table by the text form of its key."""
+    values = [c for c in stats.columns if c not in key_columns(key)]
+    return stats.select(level_of(key).alias("level"), *values)
+
+
+def fuse(tables: Sequence[DataFrame]) -> DataFrame:
+    """Tables keyed by ``level`` side by side, so that rows look each key up once.
+
+    The joins run over levels, not rows.
+    """
+    return reduce(lambda a, b: a.join(b, "level", "full"), tables)

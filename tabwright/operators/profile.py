@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +44,9 @@ def profile(
     on = key_columns(key)
     wanted = {x: list(stats[x] if isinstance(stats, Mapping) else stats) for x in xs}
     values = [(F.when(where[x], c) if x in where else c).alias(x) for x, c in xs.items()]
-    base = rows.select(*on, *values).dropna(subset=on)
+    # Plain null tests, unlike dropna, are pushed into the scan.
+    known = reduce(Column.__and__, (F.col(c).isNotNull() for c in on))
+    base = rows.select(*on, *values).filter(known)
     if facts is None and any({"median", "mad"} & set(s) for s in wanted.values()):
         facts = measure(base, [key])[0][key_name(key)]
 

@@ -19,7 +19,7 @@ from tabwright.session import materialize
 
 SLICES = 4096
 # A bracket with at most this many values is sorted in place.
-SMALL_BRACKET = 10_000
+SMALL_BRACKET = 100_000
 
 
 def exact_ranks(
@@ -40,7 +40,9 @@ def exact_ranks(
     kind = rows.schema[x].dataType
     whole = isinstance(kind, T.IntegralType)
     x_col = F.col(x).cast("long" if whole else "double")
-    rows = rows.select(*by, x_col.alias("x")).dropna()
+    rows = rows.select(*by, x_col.alias("x"))
+    for c in (*by, "x"):
+        rows = rows.filter(F.col(c).isNotNull())
 
     sized = rows.groupBy(*by).agg(
         F.min("x").alias("low"), F.max("x").alias("high"), F.count(F.lit(1)).alias("n")

@@ -140,20 +140,25 @@ class MeanEncoding(Model):
         k = len(rows[0]["priors"])
         return cls(rows[0]["features"], rows[0]["fold"], k, priors, spark.read.parquet(f"{path}/table"))
 
+    def level_table(self, feature: str) -> DataFrame:
+        """``(level, <feature>_<output> ...)`` with one array over folds per output."""
+        own = self.table.filter(F.col("feature") == feature)
+        return own.select("level", *[F.col(n).alias(f"{feature}_{n}") for n in self.priors])
+
+    def finish(self, joined: DataFrame, feature: str) -> DataFrame:
+        """Replace the looked-up arrays: rows with a fold get that fold's encoding, all
+        others the mean over folds, and unseen levels the priors."""
+        f = F.col(self.fold).cast("int") + 1
+        return joined.withColumns(
+            {f"{feature}_{n}": self._value(F.col(f"{feature}_{n}"), p, f) for n, p in self.priors.items()}
+        )
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        """Rows with a fold get that fold's encoding, all others the mean over folds."""
         out = dataset
-        spread_by = dataset.columns
-        f = F.col(self.fold).cast("int") + 1
         for feature in self.features:
-            own = self.table.filter(F.col("feature") == feature)
-            names = {name: f"{feature}_{name}" for name in self.priors}
-            own = own.select("level", *[F.col(n).alias(v) for n, v in names.items()])
             facts = self.facts.get(feature, KeyFacts(0, 0))
-            out = lookup_level(out, own, feature, facts, spread_by)
-            out = out.withColumns(
-                {v: self._value(F.col(v), self.priors[n], f) for n, v in names.items()}
-            )
+            out = lookup_level(out, self.level_table(feature), feature, facts, dataset.columns)
+            out = self.finish(out, feature)
         return out
 
     def _value(self, per_fold: Column, priors: Sequence[float], f: Column) -> Column:
@@ -285,17 +290,23 @@ class TargetEncoding(Model):
         table = spark.read.parquet(f"{path}/table")
         return cls(first["features"], first["fold"], first["k"], list(defaults), defaults, table)
 
+    def level_table(self, feature: str) -> DataFrame:
+        """``(level, <feature>_target_<stat> ...)`` with one array over folds per statistic."""
+        own = self.table.filter(F.col("feature") == feature)
+        return own.select("level", *[F.col(s).alias(f"{feature}_target_{s}") for s in self.stats])
+
+    def finish(self, joined: DataFrame, feature: str) -> DataFrame:
+        """Replace the looked-up arrays as the mean encoding does; unseen levels get the default."""
+        f = F.col(self.fold).cast("int") + 1
+        names = {s: f"{feature}_target_{s}" for s in self.stats}
+        return joined.withColumns({v: self._value(v, self.defaults[s], f) for s, v in names.items()})
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         out = dataset
-        spread_by = dataset.columns
-        f = F.col(self.fold).cast("int") + 1
         for feature in self.features:
-            names = {s: f"{feature}_target_{s}" for s in self.stats}
-            own = self.table.filter(F.col("feature") == feature).select(
-                "level", *[F.col(s).alias(v) for s, v in names.items()]
-            )
-            out = lookup_level(out, own, feature, self.facts.get(feature, KeyFacts(0, 0)), spread_by)
-            out = out.withColumns({v: self._value(v, self.defaults[s], f) for s, v in names.items()})
+            facts = self.facts.get(feature, KeyFacts(0, 0))
+            out = lookup_level(out, self.level_table(feature), feature, facts, dataset.columns)
+            out = self.finish(out, feature)
         return out
 
     def _value(self, column: str, default: float, f: Column) -> Column:

@@ -11,7 +11,7 @@ from tabwright.operators import clean
 from tabwright.plans.registry import on_listing, query, rounded, sql_rounded
 from tabwright.session import scratch_path
 from tabwright.sources import delimited
-from tabwright.sources.tables import listing, table
+from tabwright.sources.tables import listing, stored_listing, table
 
 
 @query(
@@ -208,7 +208,7 @@ def sql_mode(c: str, source: str = "listing") -> str:
     ),
 )
 def impute_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = listing(spark, sf_dir, ["sale_id", "price", *_IMPUTED])
+    rows = stored_listing(spark, sf_dir, ["sale_id", "price", *_IMPUTED])
     return clean.impute_mode(rows, exclude=["sale_id", "price"])
 
 

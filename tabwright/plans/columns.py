@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tabwright.functions import bins, crosses
 from tabwright.functions import scalars as S
 from tabwright.plans.registry import on_listing, query, rounded, sql_rounded
-from tabwright.sources.tables import VECTOR_SIZE, listing, table
+from tabwright.sources.tables import VECTOR_SIZE, listing, stored_listing, table
 
 AS_OF = "2002-01-01"
 VECTOR = [f"v_{i}" for i in range(VECTOR_SIZE)]
@@ -24,8 +24,10 @@ REG, CREAT = sql_date("reg_date"), sql_date("creat_date")
 SQL_DAYS = f"cast({CREAT} - {REG} as int)"
 
 
-def dated(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
-    rows = listing(spark, sf_dir, ["sale_id", "reg_date", "creat_date", *more])
+def dated(spark: SparkSession, sf_dir: str, *more: str, stored: bool = False) -> DataFrame:
+    """The listing with parsed dates and the days between them."""
+    read = stored_listing if stored else listing
+    rows = read(spark, sf_dir, ["sale_id", "reg_date", "creat_date", *more])
     return rows.withColumns(
         {"reg": S.repaired_date(F.col("reg_date")), "creat": S.repaired_date(F.col("creat_date"))}
     ).withColumn("days", S.day_gap(F.col("creat"), F.col("reg")))
@@ -236,7 +238,7 @@ def _sql_range_bin(c: str) -> str:
     ),
 )
 def bin_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = dated(spark, sf_dir, "power", "acctbal").withColumn("power", S.clip(F.col("power"), 1, 600))
+    rows = dated(spark, sf_dir, "power", "acctbal", stored=True).withColumn("power", S.clip(F.col("power"), 1, 600))
     return attach_range_bins(rows, list(_RANGED)).select("sale_id", *[f"{c}_bin" for c in _RANGED])
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tabwright.operators import folds
 from tabwright.operators.target import FoldTargetEncoder, SmoothedMeanEncoder
 from tabwright.plans.registry import on_listing, query, round_columns, sql_rounded
-from tabwright.sources.tables import listing, table
+from tabwright.sources.tables import stored_listing, table
 
 
 def sql_digest(c: str, seed: int) -> str:
@@ -67,7 +67,7 @@ CATEGORIES = ("region_code", "brand", "model", "name", "fuel_type", "body_type",
 
 
 def _fold_listing(spark: SparkSession, sf_dir: str, features: Sequence[str], k: int) -> DataFrame:
-    rows = listing(spark, sf_dir, ["sale_id", "is_train", "price", *features])
+    rows = stored_listing(spark, sf_dir, ["sale_id", "is_train", "price", *features])
     return folds.contiguous_folds(rows, k, F.col("sale_id"), where=F.col("is_train"))
 
 

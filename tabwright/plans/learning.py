@@ -12,7 +12,7 @@ from tabwright.operators.target import FoldTargetEncoder
 from tabwright.plans.columns import VECTOR, dated
 from tabwright.plans.registry import on_listing, query, round_columns, rounded, sql_rounded
 from tabwright.session import materialize
-from tabwright.sources.tables import listing, table
+from tabwright.sources.tables import stored_listing, table
 
 VECTOR_LENGTH = 64
 _X = [f"x_{i}" for i in range(VECTOR_LENGTH)]
@@ -79,11 +79,12 @@ def learner_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"brand_code": F.substring("brand", 1, 1).cast("int"), "label": S.to_log(F.col("price"))}
     )
     rows = matrix.as_vector(rows, [*NUMERIC_FEATURES, *VECTOR], keep=["sale_id", "is_train", "label"])
+    rows = materialize(rows, "learner")
     return folds.shuffled_folds(rows, LEARN_FOLDS, "sale_id", 2018, where=F.col("is_train"))
 
 
 def _cross_fitted(spark: SparkSession, sf_dir: str, make) -> DataFrame:
-    rows = materialize(learner_rows(spark, sf_dir), "learner")
+    rows = learner_rows(spark, sf_dir)
     return learn.cross_fit(rows, make, LEARN_FOLDS).transform(rows)
 
 
@@ -121,7 +122,7 @@ PENALTY = 3.0
 
 def base_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(sale_id, is_train, label, fold, pred_a, pred_b)`` in log scale."""
-    rows = listing(spark, sf_dir, ["sale_id", "is_train", "price", *STACK_KEYS.values()])
+    rows = stored_listing(spark, sf_dir, ["sale_id", "is_train", "price", *STACK_KEYS.values()])
     rows = rows.withColumn("label", S.to_log(F.col("price")))
     rows = folds.contiguous_folds(rows, STACK_FOLDS, F.col("sale_id"), where=F.col("is_train"))
     encoder = FoldTargetEncoder(list(STACK_KEYS.values()), "label", STACK_FOLDS, stats=["mean"])

@@ -19,7 +19,7 @@ from tabwright.operators.profile import (
 )
 from tabwright.plans.columns import SQL_DAYS, dated
 from tabwright.plans.registry import on_listing, query, round_columns, rounded, sql_rounded
-from tabwright.sources.tables import listing, table
+from tabwright.sources.tables import listing, stored_listing, table
 
 # Decimal places a statistic of two-decimal money values is compared at.
 PLACES = {"max": 4, "min": 4, "median": 4, "sum": 2, "std": 4, "mean": 4, "skew": 6, "kurt": 6, "mad": 4}
@@ -96,7 +96,7 @@ _HIGH = 400000
     ),
 )
 def group_profile_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = listing(spark, sf_dir, ["region_code", "price", "is_train"]).filter("is_train")
+    rows = stored_listing(spark, sf_dir, ["region_code", "price", "is_train"]).filter("is_train")
     price = F.col("price")
     return _places(profile(rows, "region_code", {"price": price}, PRICE_STATS, where={"price": price > _HIGH}))
 
@@ -116,7 +116,7 @@ def _sql_target_profiles() -> str:
 @query("target_profiles", on_listing(_sql_target_profiles()))
 def target_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten price statistics for each of six categories, labelled rows described, all rows joined."""
-    rows = listing(spark, sf_dir, ["sale_id", "is_train", "price", *TARGET_KEYS])
+    rows = stored_listing(spark, sf_dir, ["sale_id", "is_train", "price", *TARGET_KEYS])
     out = attach_target_profiles(rows, rows.filter("is_train"), TARGET_KEYS)
     return _places(out.drop("is_train", "price", *TARGET_KEYS))
 
@@ -144,7 +144,7 @@ REGION_WHERE = {"days": "days > 0", "power": "power > 0", "v_3": "v_3 > -1000000
     ),
 )
 def group_profile_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = dated(spark, sf_dir, "region_code", "power", "v_3", "v_0")
+    rows = dated(spark, sf_dir, "region_code", "power", "v_3", "v_0", stored=True)
     out = attach_region_profiles(rows)
     return _places(out.drop("reg_date", "creat_date", "reg", "creat", "days", "power", "v_3", "v_0", "region_code"))
 
@@ -177,7 +177,7 @@ def _sql_cat_num() -> str:
     on_listing(_sql_cat_num(), "yeared as (select *, reg_date // 10000 as reg_year from listing)"),
 )
 def cat_num_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = listing(spark, sf_dir, ["sale_id", "model", "brand", "reg_date", *CROSS_NUMERICS])
+    rows = stored_listing(spark, sf_dir, ["sale_id", "model", "brand", "reg_date", *CROSS_NUMERICS])
     rows = rows.withColumn("reg_year", F.expr("reg_date div 10000")).drop("reg_date")
     out = attach_cat_num_stats(rows, CROSS_KEYS, CROSS_NUMERICS)
     return round_columns(out.drop(*CROSS_KEYS, *CROSS_NUMERICS), 6)
@@ -252,7 +252,7 @@ def _sql_counts(keys: Sequence[str]) -> str:
 
 @query("count_encode", on_listing(f"select sale_id, {_sql_counts(COUNTED)} from listing"))
 def count_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = listing(spark, sf_dir, ["sale_id", *COUNTED])
+    rows = stored_listing(spark, sf_dir, ["sale_id", *COUNTED])
     return frequency.count_encode(rows, COUNTED, spread_by=["sale_id"]).drop(*COUNTED)
 
 
@@ -266,7 +266,7 @@ def count_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def group_transform_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["name", "region_code", ("brand", "region_code")]
-    rows = listing(spark, sf_dir, ["sale_id", "name", "brand", "region_code"])
+    rows = stored_listing(spark, sf_dir, ["sale_id", "name", "brand", "region_code"])
     counted = frequency.count_encode(rows, keys, spread_by=["sale_id"])
     return counted.select("sale_id", *[f"{key_name(k)}_count" for k in keys])
 
@@ -351,7 +351,7 @@ def _sql_pair_features() -> str:
 def pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pair descriptions joined back to every row, as the feature tables use them."""
     singles = ["model", "brand", "region_code"]
-    rows = listing(spark, sf_dir, ["sale_id", *singles])
+    rows = stored_listing(spark, sf_dir, ["sale_id", *singles])
     counted = frequency.count_encode(rows, singles, spread_by=["sale_id"])
     out = frequency.attach_pair_features(counted, PAIRS, spread_by=["sale_id"])
     return round_columns(out.drop(*singles, *[f"{c}_count" for c in singles]), 6)

@@ -21,6 +21,7 @@ def build_session(app: str = "tabwright", master: str | None = None) -> SparkSes
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     if master:
         builder = (
@@ -28,6 +29,8 @@ def build_session(app: str = "tabwright", master: str | None = None) -> SparkSes
             .config("spark.sql.shuffle.partitions", os.environ.get("TABWRIGHT_SHUFFLE", "8"))
             .config("spark.driver.memory", os.environ.get("TABWRIGHT_MEMORY", "12g"))
             .config("spark.ui.enabled", "false")
+            # Small local data would otherwise be coalesced to a single task.
+            .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         )
     return builder.getOrCreate()
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabwright.session import materialize
+
 VECTOR_SIZE = 15
 
 CUSTOMER_COLUMNS = {"body_type", "region_code", "acctbal"}
@@ -82,6 +84,11 @@ def listing(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFra
     return df.select(*[exprs[c]().alias(c) for c in columns])
 
 
+def stored_listing(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame:
+    """The view written once to the shared folder, for work that reads it more than once."""
+    return materialize(listing(spark, sf_dir, columns), "listing")
+
+
 # The same view for an ANSI-SQL engine, used by the comparison queries.
 LISTING_SQL = f"""
 select o.o_orderkey as sale_id,
