@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+SIGNS = {"plus": "+", "minus": "-", "times": "*"}
+
 OPS: dict[str, Callable[[Column, Column], Column]] = {
     "plus": lambda a, b: a + b,
     "minus": lambda a, b: a - b,
@@ -24,10 +26,13 @@ def cross_columns(
     op: str,
     keep: Callable[[str, str], bool] = lambda a, b: True,
 ) -> list[Column]:
-    """Every ``left`` by every ``right`` column, in order, where ``keep`` allows it."""
-    combine = OPS[op]
+    """Every ``left`` by every ``right`` column, in order, where ``keep`` allows it.
+
+    SQL text makes one driver call per cross; hundreds of them add up otherwise.
+    """
+    sign = SIGNS[op]
     return [
-        combine(F.col(a), F.col(b)).alias(cross_name(a, op, b))
+        F.expr(f"`{a}` {sign} `{b}` as `{cross_name(a, op, b)}`")
         for a in left
         for b in right
         if keep(a, b)

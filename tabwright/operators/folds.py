@@ -48,9 +48,20 @@ def _cut_points(rows: DataFrame, by: list[str], k: int) -> DataFrame:
 
 
 def _fold_of(order_key: Column, cuts: list[int]) -> Column:
+    """How many cut points the key has reached, 0 .. k-1."""
     return sum(((order_key >= F.lit(c)).cast("int") for c in cuts), F.lit(0))
 
 
+def _with_folds(df: DataFrame, keys: dict[str, Column], cuts: dict[str, list[int]], where: Column | None) -> DataFrame:
+    """Add fold columns; each order key is computed once, in a projection of its own."""
+    keyed = df.withColumns({f"_key_{name}": key for name, key in keys.items()})
+    assigned = {}
+    for name in keys:
+        fold = _fold_of(F.col(f"_key_{name}"), cuts[name])
+        assigned[name] = fold if where is None else F.when(where, fold)
+    return keyed.withColumns(assigned).drop(*[f"_key_{name}" for name in keys])
+
+
 def contiguous_folds(
     df: DataFrame,
     k: int,
@@ -65,8 +76,7 @@ def contiguous_folds(
     taken = df if where is None else df.filter(where)
     keys = taken.select(F.lit(0).alias("part"), order_key.alias("order_key"))
     found = _cut_points(keys, ["part"], k).collect()
-    fold = _fold_of(order_key, found[0]["cuts"] if found else [])
-    return df.withColumn(name, fold if where is None else F.when(where, fold))
+    return _with_folds(df, {name: order_key}, {name: found[0]["cuts"] if found else []}, where)
 
 
 def stratified_folds(
@@ -123,9 +133,7 @@ def repeated_folds(
     taken = df if where is None else df.filter(where)
     order_keys = [key(F.col(id_col), seed + r) for r in range(repeats)]
     keys = taken.select(F.posexplode(F.array(*order_keys)).alias("repeat", "order_key"))
-    cuts = {r["repeat"]: r["cuts"] for r in _cut_points(keys, ["repeat"], k).collect()}
-    columns = {}
-    for r, order_key in enumerate(order_keys):
-        fold = _fold_of(order_key, cuts.get(r, []))
-        columns[f"{prefix}_{r}"] = fold if where is None else F.when(where, fold)
-    return df.withColumns(columns)
+    found = {r["repeat"]: r["cuts"] for r in _cut_points(keys, ["repeat"], k).collect()}
+    names = [f"{prefix}_{r}" for r in range(repeats)]
+    cuts = {name: found.get(r, []) for r, name in enumerate(names)}
+    return _with_folds(df, dict(zip(names, order_keys)), cuts, where)

@@ -57,15 +57,37 @@ def lookup_level(
     return attach(keyed, model, "level", facts, spread_by or rows.columns).drop("level")
 
 
+def lookup_packed(
+    rows: DataFrame,
+    model: DataFrame,
+    key: Key,
+    facts: KeyFacts,
+    name: str,
+    spread_by: Sequence[str] | None = None,
+) -> DataFrame:
+    """``lookup_level`` into one struct column ``name``.
+
+    A long chain of lookups then carries one column per key, not one per value, and
+    the values are unpacked in a single projection at its end.
+    """
+    packed = model.select("level", F.struct(*[c for c in model.columns if c != "level"]).alias(name))
+    if not facts.fits_broadcast(len(model.columns)):
+        return lookup_level(rows, packed, key, facts, spread_by)
+    own = f"_level_{name}"
+    keyed = F.broadcast(packed.withColumnRenamed("level", own))
+    return rows.join(keyed, level_of(key) == F.col(own), "left")
+
+
 def by_level(stats: DataFrame, key: Key) -> DataFrame:
     """Re-key a one-row-per-key table by the text form of its key."""
     values = [c for c in stats.columns if c not in key_columns(key)]
     return stats.select(level_of(key).alias("level"), *values)
 
 
-def fuse(tables: Sequence[DataFrame]) -> DataFrame:
-    """Tables keyed by ``level`` side by side, so that rows look each key up once.
+def side_by_side(first: DataFrame, others: Sequence[DataFrame], on: Sequence[str] = ("level",)) -> DataFrame:
+    """Level tables joined so that rows look each key up once.
 
-    The joins run over levels, not rows.
+    ``first`` must hold every level, as the level counts do. The joins run over
+    levels, not rows.
     """
-    return reduce(lambda a, b: a.join(b, "level", "full"), tables)
+    return reduce(lambda a, b: a.join(b, list(on), "left"), others, first)

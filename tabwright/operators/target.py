@@ -8,6 +8,7 @@ the other k - 1 partials, so rows are read once, not once per fold.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import cached_property
 
 from pyspark.ml import Estimator, Model
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -125,7 +126,10 @@ class MeanEncoding(Model):
     def __init__(self, features, fold, k, priors, table: DataFrame):
         super().__init__()
         self.features, self.fold, self.k, self.priors, self.table = features, fold, k, priors, table
-        self.facts = facts_of(table)
+
+    @cached_property
+    def facts(self) -> dict[str, KeyFacts]:
+        return facts_of(self.table)
 
     def save(self, path: str) -> None:
         self.table.write.parquet(f"{path}/table")
@@ -143,7 +147,10 @@ class MeanEncoding(Model):
     def level_table(self, feature: str) -> DataFrame:
         """``(level, <feature>_<output> ...)`` with one array over folds per output."""
         own = self.table.filter(F.col("feature") == feature)
-        return own.select("level", *[F.col(n).alias(f"{feature}_{n}") for n in self.priors])
+        return own.select("level", *self.level_columns(feature))
+
+    def level_columns(self, feature: str) -> list[Column]:
+        return [F.col(n).alias(f"{feature}_{n}") for n in self.priors]
 
     def finish(self, joined: DataFrame, feature: str) -> DataFrame:
         """Replace the looked-up arrays: rows with a fold get that fold's encoding, all
@@ -274,7 +281,10 @@ class TargetEncoding(Model):
         super().__init__()
         self.features, self.fold, self.k = features, fold, k
         self.stats, self.defaults, self.table = list(stats), defaults, table
-        self.facts = facts_of(table)
+
+    @cached_property
+    def facts(self) -> dict[str, KeyFacts]:
+        return facts_of(self.table)
 
     def save(self, path: str) -> None:
         self.table.write.parquet(f"{path}/table")
@@ -293,7 +303,10 @@ class TargetEncoding(Model):
     def level_table(self, feature: str) -> DataFrame:
         """``(level, <feature>_target_<stat> ...)`` with one array over folds per statistic."""
         own = self.table.filter(F.col("feature") == feature)
-        return own.select("level", *[F.col(s).alias(f"{feature}_target_{s}") for s in self.stats])
+        return own.select("level", *self.level_columns(feature))
+
+    def level_columns(self, feature: str) -> list[Column]:
+        return [F.col(s).alias(f"{feature}_target_{s}") for s in self.stats]
 
     def finish(self, joined: DataFrame, feature: str) -> DataFrame:
         """Replace the looked-up arrays as the mean encoding does; unseen levels get the default."""

@@ -190,7 +190,7 @@ def vector_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("sale_id", *by_factor)
 
 
-def _sql_fixed_bin(c: str, count: int, width: int = 10) -> str:
+def sql_fixed_bin(c: str, count: int, width: int = 10) -> str:
     return f"""case when {c} > 0 and {c} <= {count * width}
                then cast((select count(*) from range(0, {count + 1}) e(i) where i * {width} < {c}) - 1 as int) end"""
 
@@ -198,8 +198,8 @@ def _sql_fixed_bin(c: str, count: int, width: int = 10) -> str:
 @query(
     "bin_fixed",
     on_listing(
-        f"""select sale_id, power, {_sql_fixed_bin('power', 30)} as power_bin,
-                   {_sql_fixed_bin('model', 23)} as model_bin,
+        f"""select sale_id, power, {sql_fixed_bin('power', 30)} as power_bin,
+                   {sql_fixed_bin('model', 23)} as model_bin,
                    cast(case when power > 5 and power <= 20 then 0 when power > 20 and power <= 150 then 1
                              when power > 150 and power <= 400 then 2 end as int) as power_band
             from listing"""

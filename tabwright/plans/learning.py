@@ -79,7 +79,7 @@ def learner_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"brand_code": F.substring("brand", 1, 1).cast("int"), "label": S.to_log(F.col("price"))}
     )
     rows = matrix.as_vector(rows, [*NUMERIC_FEATURES, *VECTOR], keep=["sale_id", "is_train", "label"])
-    rows = materialize(rows, "learner")
+    rows = materialize(matrix.fill_gaps(rows), "learner")
     return folds.shuffled_folds(rows, LEARN_FOLDS, "sale_id", 2018, where=F.col("is_train"))
 
 

@@ -9,6 +9,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Least number of files of a stored table. Only for one machine, whose small inputs are
+# single files and would keep a single core busy; unset, a table is written as it comes.
+SPREAD = "spark.tabwright.spread"
+
+
 def build_session(app: str = "tabwright", master: str | None = None) -> SparkSession:
     """A session with the settings the operators are written for.
 
@@ -22,6 +27,8 @@ def build_session(app: str = "tabwright", master: str | None = None) -> SparkSes
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
+        # Call sites cost a stack walk per column operation; wide tables have thousands.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = (
@@ -29,6 +36,7 @@ def build_session(app: str = "tabwright", master: str | None = None) -> SparkSes
             .config("spark.sql.shuffle.partitions", os.environ.get("TABWRIGHT_SHUFFLE", "8"))
             .config("spark.driver.memory", os.environ.get("TABWRIGHT_MEMORY", "12g"))
             .config("spark.ui.enabled", "false")
+            .config(SPREAD, os.environ.get("TABWRIGHT_SHUFFLE", "8"))
             # Small local data would otherwise be coalesced to a single task.
             .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         )
@@ -64,5 +72,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    schema = df.schema
+    spread = spark.conf.get(SPREAD, None)
+    (df.repartition(int(spread)) if spread else df).write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
