@@ -40,12 +40,12 @@ def exact_ranks(
     kind = rows.schema[x].dataType
     whole = isinstance(kind, T.IntegralType)
     x_col = F.col(x).cast("long" if whole else "double")
-    rows = rows.select(*by, x_col.alias("x"))
-    for c in (*by, "x"):
+    rows = rows.select(*by, x_col.alias("_x"))
+    for c in (*by, "_x"):
         rows = rows.filter(F.col(c).isNotNull())
 
     sized = rows.groupBy(*by).agg(
-        F.min("x").alias("low"), F.max("x").alias("high"), F.count(F.lit(1)).alias("n")
+        F.min("_x").alias("low"), F.max("_x").alias("high"), F.count(F.lit(1)).alias("n")
     )
     state = materialize(
         sized.select(
@@ -66,7 +66,7 @@ def exact_ranks(
 
 def _inside(rows: DataFrame, brackets: DataFrame, by: list[str]) -> DataFrame:
     """Rows within a bracket of their group; brackets of one group never overlap."""
-    return rows.join(brackets, by).filter(F.col("x").between(F.col("low"), F.col("high")))
+    return rows.join(brackets, by).filter(F.col("_x").between(F.col("low"), F.col("high")))
 
 
 def _narrow(
@@ -74,16 +74,16 @@ def _narrow(
 ) -> DataFrame:
     brackets = state.filter(unsettled).select(*by, "low", "high", "below").distinct()
     if whole:
-        piece = F.expr(f"(x - low) div ((high - low) div {slices} + 1)")
+        piece = F.expr(f"(_x - low) div ((high - low) div {slices} + 1)")
     else:
-        share = (F.col("x") - F.col("low")) / (F.col("high") - F.col("low"))
+        share = (F.col("_x") - F.col("low")) / (F.col("high") - F.col("low"))
         piece = F.least(F.floor(share * slices), F.lit(slices - 1))
     counted = (
         _inside(rows, brackets, by)
         .groupBy(*by, "low", "below", piece.alias("piece"))
         .agg(
-            F.min("x").alias("piece_low"),
-            F.max("x").alias("piece_high"),
+            F.min("_x").alias("piece_low"),
+            F.max("_x").alias("piece_high"),
             F.count(F.lit(1)).alias("piece_n"),
         )
     )
@@ -118,7 +118,7 @@ def _read_off(rows: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
     sorted_values = (
         _inside(rows, brackets, by)
         .groupBy(*by, "low")
-        .agg(F.sort_array(F.collect_list("x")).alias("values"))
+        .agg(F.sort_array(F.collect_list("_x")).alias("values"))
     )
     read = rest.join(sorted_values, [*by, "low"]).select(
         *by,
