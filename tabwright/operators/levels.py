@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabwright.session import materialize
 
@@ -14,8 +15,12 @@ Key = str | tuple[str, ...]
 
 # A level holding this share of the rows is hot; there can be at most 1 / share of them.
 HOT_SHARE = 0.001
-# Cells (keys x value columns) a table may hold and still be broadcast, about 64 MB.
+# Cells (levels x values) a table may hold and still be broadcast, some 64 MB in memory.
 BROADCAST_CELLS = 4_000_000
+# An array in a looked-up table holds one value per fold; count it as this many cells.
+ARRAY_CELLS = 16
+# Keys with fewer levels than this are always broadcast, so their hot levels do not matter.
+FEW_LEVELS = 4_000
 
 
 def key_columns(key: Key) -> list[str]:
@@ -63,8 +68,15 @@ class KeyFacts:
     largest: int
     hot: tuple[str, ...] = ()
 
-    def fits_broadcast(self, value_columns: int) -> bool:
-        return self.n_levels * max(value_columns, 1) <= BROADCAST_CELLS
+    def fits_broadcast(self, stats: DataFrame) -> bool:
+        cells = self.n_levels * cells_per_row(stats.schema)
+        return self.n_levels < FEW_LEVELS or cells <= BROADCAST_CELLS
+
+
+def cells_per_row(kind: T.DataType) -> int:
+    if isinstance(kind, T.StructType):
+        return sum(cells_per_row(f.dataType) for f in kind)
+    return ARRAY_CELLS if isinstance(kind, T.ArrayType) else 1
 
 
 def facts_of(counts: DataFrame, hot_share: float | None = None) -> dict[str, KeyFacts]:
@@ -75,11 +87,10 @@ def facts_of(counts: DataFrame, hot_share: float | None = None) -> dict[str, Key
         .agg(F.count(F.lit(1)).alias("n_levels"), F.max("n").alias("largest"), F.sum("n").alias("rows"))
         .collect()
     )
-    # Only keys too large to broadcast ever need their hot levels named.
     floors = {
         r["feature"]: r["rows"] * share
         for r in sizes
-        if r["n_levels"] * 64 > BROADCAST_CELLS and r["largest"] >= r["rows"] * share
+        if r["n_levels"] >= FEW_LEVELS and r["largest"] >= r["rows"] * share
     }
     hot: dict[str, list[str]] = {}
     if floors:

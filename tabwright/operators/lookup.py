@@ -27,7 +27,7 @@ def attach(
     """
     on = key_columns(key)
     values = [c for c in stats.columns if c not in on]
-    if facts.fits_broadcast(len(values)):
+    if facts.fits_broadcast(stats):
         return rows.join(F.broadcast(stats), on, "left")
 
     level = level_of(key)
@@ -71,7 +71,7 @@ def lookup_packed(
     the values are unpacked in a single projection at its end.
     """
     packed = model.select("level", F.struct(*[c for c in model.columns if c != "level"]).alias(name))
-    if not facts.fits_broadcast(len(model.columns)):
+    if not facts.fits_broadcast(packed):
         return lookup_level(rows, packed, key, facts, spread_by)
     own = f"_level_{name}"
     keyed = F.broadcast(packed.withColumnRenamed("level", own))

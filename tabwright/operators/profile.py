@@ -19,7 +19,7 @@ RANGE_STATS = ("max", "min", "std", "mean", "median", "sum")
 
 # Largest group whose median is taken by Spark's own aggregate, which keeps every
 # distinct value of a group in one task; larger groups are ranked in a distributed way.
-MEDIAN_ROWS = 1_000_000
+MEDIAN_ROWS = 250_000
 
 
 def stat_name(key: Key, x: str, stat: str) -> str:

@@ -20,6 +20,8 @@ from tabwright.session import materialize
 SLICES = 4096
 # A bracket with at most this many values is sorted in place.
 SMALL_BRACKET = 100_000
+# So many brackets (one or two per wanted position) may be broadcast, a few MB.
+FEW_BRACKETS = 100_000
 
 
 def exact_ranks(
@@ -32,8 +34,8 @@ def exact_ranks(
 ) -> DataFrame:
     """Values at zero-based positions of each group's rising order of ``x``.
 
-    ``positions`` turns a group's size into the array of wanted positions; those
-    outside the group are dropped. Returns ``(*by, pos, value)``. Whole-number
+    ``positions`` turns a group's size into the short array of wanted positions;
+    those outside the group are dropped. Returns ``(*by, pos, value)``. Whole-number
     ``x`` must span less than 2**63. Missing groups and values do not take part.
     """
     by = list(by)
@@ -59,18 +61,25 @@ def exact_ranks(
         "ranks",
     )
     unsettled = (F.col("low") < F.col("high")) & (F.col("n") > small)
+    few = state.count() <= FEW_BRACKETS
     while not state.filter(unsettled).isEmpty():
-        state = materialize(_narrow(rows, state, by, unsettled, whole, slices), "ranks")
-    return _read_off(rows, state, by)
+        state = materialize(_narrow(rows, state, by, unsettled, whole, slices, few), "ranks")
+    return _read_off(rows, state, by, few)
 
 
-def _inside(rows: DataFrame, brackets: DataFrame, by: list[str]) -> DataFrame:
+def _inside(rows: DataFrame, brackets: DataFrame, by: list[str], few: bool) -> DataFrame:
     """Rows within a bracket of their group; brackets of one group never overlap."""
-    return rows.join(brackets, by).filter(F.col("_x").between(F.col("low"), F.col("high")))
+    return rows.join(F.broadcast(brackets) if few else brackets, by).filter(F.col("_x").between(F.col("low"), F.col("high")))
 
 
 def _narrow(
-    rows: DataFrame, state: DataFrame, by: list[str], unsettled: Column, whole: bool, slices: int
+    rows: DataFrame,
+    state: DataFrame,
+    by: list[str],
+    unsettled: Column,
+    whole: bool,
+    slices: int,
+    few: bool,
 ) -> DataFrame:
     brackets = state.filter(unsettled).select(*by, "low", "high", "below").distinct()
     if whole:
@@ -79,7 +88,7 @@ def _narrow(
         share = (F.col("_x") - F.col("low")) / (F.col("high") - F.col("low"))
         piece = F.least(F.floor(share * slices), F.lit(slices - 1))
     counted = (
-        _inside(rows, brackets, by)
+        _inside(rows, brackets, by, few)
         .groupBy(*by, "low", "below", piece.alias("piece"))
         .agg(
             F.min("_x").alias("piece_low"),
@@ -108,7 +117,7 @@ def _narrow(
     return state.filter(~unsettled).select(*moved.columns).unionByName(moved)
 
 
-def _read_off(rows: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
+def _read_off(rows: DataFrame, state: DataFrame, by: list[str], few: bool) -> DataFrame:
     settled = state.filter(F.col("low") == F.col("high")).select(
         *by, "pos", F.col("low").alias("value")
     )
@@ -116,7 +125,7 @@ def _read_off(rows: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
     brackets = rest.select(*by, "low", "high").distinct()
     # Every bracket left here was counted and holds at most SMALL_BRACKET values.
     sorted_values = (
-        _inside(rows, brackets, by)
+        _inside(rows, brackets, by, few)
         .groupBy(*by, "low")
         .agg(F.sort_array(F.collect_list("_x")).alias("values"))
     )

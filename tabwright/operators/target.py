@@ -133,7 +133,7 @@ class MeanEncoding(Model):
 
     def save(self, path: str) -> None:
         self.table.write.parquet(f"{path}/table")
-        rows = [(name, self.fold, self.features, [float(p) for p in ps]) for name, ps in self.priors.items()]
+        rows = [(name, self.fold, self.features, [None if p is None else float(p) for p in ps]) for name, ps in self.priors.items()]
         schema = "output string, fold string, features array<string>, priors array<double>"
         self.table.sparkSession.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{path}/priors")
 

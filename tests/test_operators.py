@@ -39,12 +39,19 @@ def frame(df, index="id"):
     return df.toPandas().set_index(index).sort_index()
 
 
+def limit(monkeypatch, cells):
+    """With no cells allowed, every lookup takes the shuffled way."""
+    monkeypatch.setattr(levels, "BROADCAST_CELLS", cells)
+    if not cells:
+        monkeypatch.setattr(levels, "FEW_LEVELS", 0)
+
+
 # Lookups.
 
 
 @pytest.mark.parametrize("broadcast_cells", [levels.BROADCAST_CELLS, 0])
 def test_lookup_same_with_and_without_broadcast(rows, skewed, monkeypatch, broadcast_cells):
-    monkeypatch.setattr(levels, "BROADCAST_CELLS", broadcast_cells)
+    limit(monkeypatch, broadcast_cells)
     monkeypatch.setattr(levels, "HOT_SHARE", 0.2)
     out = frequency.count_encode(rows, ["key", ("cat", "key")], spread_by=["id"])
     got = frame(out)
@@ -56,7 +63,7 @@ def test_lookup_same_with_and_without_broadcast(rows, skewed, monkeypatch, broad
 
 
 def test_hot_and_missing_keys_are_spread(rows, monkeypatch):
-    monkeypatch.setattr(levels, "BROADCAST_CELLS", 0)
+    limit(monkeypatch, 0)
     monkeypatch.setattr(levels, "HOT_SHARE", 0.2)
     facts, counts = levels.measure(rows, ["key"])
     assert facts["key"].hot == ("7.0",)
@@ -70,7 +77,7 @@ def test_packed_lookup_equals_plain(rows, monkeypatch):
     model = counts.select("level", "n", (F.col("n") * 2).alias("m"))
     plain = frame(lookup.lookup_level(rows, model, "key", facts["key"]).select("id", "n", "m"))
     for cells in (levels.BROADCAST_CELLS, 0):
-        monkeypatch.setattr(levels, "BROADCAST_CELLS", cells)
+        limit(monkeypatch, cells)
         packed = lookup.lookup_packed(rows, model, "key", facts["key"], "at_key", ["id"])
         pd.testing.assert_frame_equal(frame(packed.select("id", "at_key.*")), plain)
 
@@ -238,7 +245,7 @@ def brute_mean(pdf, col, k, weight):
 
 @pytest.mark.parametrize("cells", [levels.BROADCAST_CELLS, 0])
 def test_mean_encoder(rows, monkeypatch, cells):
-    monkeypatch.setattr(levels, "BROADCAST_CELLS", cells)
+    limit(monkeypatch, cells)
     data = folded(rows)
     model = target.SmoothedMeanEncoder(["key", "cat"], "y", 5).fit(data)
     got = frame(model.transform(data))
