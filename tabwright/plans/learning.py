@@ -10,6 +10,7 @@ from tabwright.functions import scalars as S
 from tabwright.operators import folds, learn, matrix, stack
 from tabwright.operators.target import FoldTargetEncoder
 from tabwright.plans.columns import VECTOR, dated
+from tabwright.plans.encoders import sql_digest
 from tabwright.plans.registry import on_listing, query, round_columns, rounded, sql_rounded
 from tabwright.session import materialize
 from tabwright.sources.tables import stored_listing, table
@@ -169,12 +170,70 @@ def stack_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_columns(stack.stack_inputs("sale_id", sides), 6)
 
 
-@query("stack_ridge")
+STACK_REPEATS = 2
+STACK_SEED = 2018
+
+
+def _sql_bayesian() -> str:
+    """The evidence iteration in SQL: closed 2 x 2 forms, one recursion over all fits."""
+    folded = ", ".join(
+        f"case when is_train then ntile(10) over (partition by is_train order by {sql_digest('sale_id', STACK_SEED + r)}) - 1 end as fold_{r}"
+        for r in range(STACK_REPEATS)
+    )
+    fits = " union all ".join(
+        f"""select {r} as r, f.fold, count(*) as n, avg(pred_a) as ma, avg(pred_b) as mb, avg(label) as my,
+                   covar_pop(pred_a, pred_a) * count(*) as aa, covar_pop(pred_a, pred_b) * count(*) as ab,
+                   covar_pop(pred_b, pred_b) * count(*) as bb, covar_pop(pred_a, label) * count(*) as ay,
+                   covar_pop(pred_b, label) * count(*) as by_, covar_pop(label, label) * count(*) as yy
+            from range(10) f(fold) join folded d on d.fold_{r} <> f.fold where d.is_train group by f.fold"""
+        for r in range(STACK_REPEATS)
+    )
+
+    def weight(b1: str, s22: str, b2: str) -> str:
+        ratio = "(weight / noise)"
+        return f"(({b1} * ({s22} + {ratio}) - ab * {b2}) / ((aa + {ratio}) * (bb + {ratio}) - ab * ab))"
+
+    prior = stack.GAMMA_PRIOR
+    # effective = 2 - weight * trace of the inverse of (noise * S + weight * I)
+    trace = """((noise * aa + weight + noise * bb + weight)
+                / ((noise * aa + weight) * (noise * bb + weight) - noise * ab * noise * ab))"""
+    extra = f"""
+        {_sql_base()},
+        folded as (select *, {folded} from base),
+        grams as ({fits}),
+        steps as (
+          select *, 0 as step, 1 / (yy / n + 2.220446049250313e-16) as noise, 1.0::double as weight,
+                 null::double as wa, null::double as wb, false as done from grams
+          union all
+          select r, fold, n, ma, mb, my, aa, ab, bb, ay, by_, yy, step + 1,
+                 (n - effective + {2 * prior}) / (greatest(yy - 2 * (na * ay + nb * by_) + na * na * aa + 2 * na * nb * ab + nb * nb * bb, 0) + {2 * prior}),
+                 (effective + {2 * prior}) / (na * na + nb * nb + {2 * prior}),
+                 na, nb, coalesce(abs(na - wa) + abs(nb - wb) < {stack.TOLERANCE}, false)
+          from (select *, 2 - weight * {trace} as effective,
+                       {weight('ay', 'bb', 'by_')} as na, {weight('by_', 'aa', 'ay')} as nb from steps) s
+          where not done and step < {stack.MOST_ROUNDS}),
+        settled as (
+          select r, fold, ma, mb, my, {weight('ay', 'bb', 'by_')} as wa, {weight('by_', 'aa', 'ay')} as wb
+          from (select *, row_number() over (partition by r, fold order by step desc) as place from steps) s where place = 1)"""
+    predicted = "my + wa * (pred_a - ma) + wb * (pred_b - mb)"
+    last = STACK_REPEATS - 1
+    body = f"""select sale_id, is_train, {sql_rounded(predicted, 6)} as stacked
+               from folded d join settled s on s.r = {last} and s.fold = d.fold_{last} where is_train
+               union all
+               select sale_id, is_train, {sql_rounded(f'avg({predicted})', 6)} as stacked
+               from folded d join settled s on true where not is_train group by sale_id, is_train"""
+    return on_listing(body, extra).replace("with listing", "with recursive listing", 1)
+
+
+@query("stack_ridge", _sql_bayesian())
 def stack_ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bayesian ridge over ten folds drawn twice."""
-    rows = folds.repeated_folds(base_predictions(spark, sf_dir).drop("fold"), 10, "sale_id", 2, 2018, F.col("is_train"))
-    fitted = stack.fit_stack(rows, list(STACK_KEYS), "label", ["fold_0", "fold_1"])
-    return fitted.transform(rows).select("sale_id", "is_train", "stacked")
+    rows = base_predictions(spark, sf_dir).drop("fold")
+    rows = folds.repeated_folds(
+        rows, 10, "sale_id", STACK_REPEATS, STACK_SEED, F.col("is_train"), key=folds.digest_key
+    )
+    fitted = stack.fit_stack(rows, list(STACK_KEYS), "label", [f"fold_{r}" for r in range(STACK_REPEATS)])
+    return fitted.transform(rows).select("sale_id", "is_train", rounded(F.col("stacked"), 6).alias("stacked"))
 
 
 def _sql_fixed_ridge() -> str:
