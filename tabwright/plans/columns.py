@@ -45,13 +45,13 @@ def date_repair_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _sql_parts(date: str, prefix: str) -> str:
+def sql_parts(date: str, prefix: str) -> str:
     parts = {"year": "year", "month": "month", "day": "day"}
     out = [f"cast({fn}({date}) as int) as {prefix}_{name}" for name, fn in parts.items()]
     return ", ".join([*out, f"cast(isodow({date}) - 1 as int) as {prefix}_dayofweek"])
 
 
-@query("date_parts", on_listing(f"select sale_id, {_sql_parts(REG, 'reg')}, {_sql_parts(CREAT, 'creat')} from listing"))
+@query("date_parts", on_listing(f"select sale_id, {sql_parts(REG, 'reg')}, {sql_parts(CREAT, 'creat')} from listing"))
 def date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = dated(spark, sf_dir)
     return rows.select(
@@ -223,16 +223,17 @@ _RANGED = {
 }
 
 
-def _sql_range_bin(c: str) -> str:
-    edge = f"(i * r.{c}_r) / 50.0::double"
-    return f"""case when {c} > 0 and {c} <= ((r.{c}_r - 1) * r.{c}_r) / 50.0::double
-               then cast((select count(*) from range(0, r.{c}_r) e(i) where {edge} < {c}) - 1 as int) end as {c}_bin"""
+def sql_range_bin(c: str, name: str) -> str:
+    """Bin of ``c`` by the range column ``<name>_r`` of table ``r``."""
+    edge = f"(i * r.{name}_r) / 50.0::double"
+    return f"""case when {c} > 0 and {c} <= ((r.{name}_r - 1) * r.{name}_r) / 50.0::double
+               then cast((select count(*) from range(0, r.{name}_r) e(i) where {edge} < {c}) - 1 as int) end"""
 
 
 @query(
     "bin_range",
     on_listing(
-        f"""select sale_id, {', '.join(_sql_range_bin(c) for c in _RANGED)} from vals, r""",
+        f"""select sale_id, {', '.join(f'{sql_range_bin(c, c)} as {c}_bin' for c in _RANGED)} from vals, r""",
         f"""vals as (select sale_id, {', '.join(f'{e} as {c}' for c, e in _RANGED.items())} from listing),
             r as (select {', '.join(f'cast(trunc(max({c}) - min({c})) as bigint) as {c}_r' for c in _RANGED)} from vals)""",
     ),
