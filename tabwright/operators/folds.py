@@ -33,6 +33,8 @@ def digest_key(id_col: Column, seed: int) -> Column:
 
 def _starts(k: int) -> Callable[[Column], Column]:
     """Positions where folds 1 .. k-1 begin; the first ``n % k`` folds have one row more."""
+    if k < 2:
+        raise ValueError(f"folds need k of at least 2, not {k}")
 
     def positions(n: Column) -> Column:
         size, extra = F.floor(n / k), n % k
