@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.llm import bpe, exact_dedup, language, mixing, wordpiece
+from tabwright.llm import bpe, exact_dedup, jaccard_join, language, mixing, repeats, wordpiece
 from tabwright.llm.common import read_table
 
 
@@ -16,6 +16,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.count_tokens(read_table(spark, sf_dir, "documents"))
 
@@ -25,9 +29,24 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.fit_corpus(docs))
 
 
+def op9_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_mix_sources, op4_exact_dedup, op7_token_counts, op8_language_id, op10_bpe)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op3_mix_sources,
+        op4_exact_dedup,
+        op6_jaccard_join,
+        op7_token_counts,
+        op8_language_id,
+        op9_repeated_bytes,
+        op10_bpe,
+    )
+}
 SQL = {"op3_mix_sources": mixing.SQL, "op4_exact_dedup": exact_dedup.SQL}
