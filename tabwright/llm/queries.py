@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.llm import bpe, exact_dedup, jaccard_join, language, mixing, repeats, wordpiece
+from tabwright.llm import bpe, exact_dedup, jaccard_join, language, mixing, repeats, vector_search, wordpiece
 from tabwright.llm.common import read_table
 
 
@@ -16,6 +16,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op5_vector_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.top_k(read_table(spark, sf_dir, "embeddings"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ QUERIES = {
     for f in (
         op3_mix_sources,
         op4_exact_dedup,
+        op5_vector_top_k,
         op6_jaccard_join,
         op7_token_counts,
         op8_language_id,
@@ -49,4 +54,4 @@ QUERIES = {
         op10_bpe,
     )
 }
-SQL = {"op3_mix_sources": mixing.SQL, "op4_exact_dedup": exact_dedup.SQL}
+SQL = {"op3_mix_sources": mixing.SQL, "op4_exact_dedup": exact_dedup.SQL, "op5_vector_top_k": vector_search.SQL}
