@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.llm import bpe, exact_dedup, jaccard_join, language, mixing, repeats, vector_search, wordpiece
+from tabwright.llm import bpe, exact_dedup, jaccard_join, language, mixing, passages, repeats, surrogates, vector_search, wordpiece
 from tabwright.llm.common import read_table
 
 
+# A query needs some key; whoever publishes texts keeps their own one secret.
+KEY = "registered query"
+
+
+def op1_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.with_surrogates(read_table(spark, sf_dir, "documents"), KEY)
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(*mixing.mix(read_table(spark, sf_dir, "documents")))
 
@@ -44,6 +56,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_fuzzy_passages,
+        op2_pii_surrogates,
         op3_mix_sources,
         op4_exact_dedup,
         op5_vector_top_k,
