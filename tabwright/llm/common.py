@@ -43,6 +43,16 @@ def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names that ``df`` doesn't have, after the given ones."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def running_total(df: DataFrame, group: list[str], bucket: str, order: list[Column], value: str, out: str) -> DataFrame:
     """Sum of ``value`` over the earlier rows of a group, as column ``out``.
 

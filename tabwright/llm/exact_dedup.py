@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.common import WHITE, sized
+from tabwright.llm.common import WHITE, fresh, sized
 from tabwright.session import materialize
 
 
@@ -82,17 +82,20 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     marks = materialize(exact_dedup(docs, id_col, text_col).select("doc_id", "text_sha256", "kept"), "exact-kept")
     counted = marks.groupBy("doc_id", "text_sha256", "kept").agg(F.count(F.lit(1)).alias("n"))
+    sha, key, digest, stays = fresh(docs, "_sha", "_id", "_text", "_stays")
     special = materialize(
-        counted.filter("not kept or n > 1").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_text"), "kept"),
+        counted.filter("not kept or n > 1").select(
+            F.col("doc_id").alias(key), F.col("text_sha256").alias(digest), F.col("kept").alias(stays)
+        ),
         "exact-special",
     )
-    rows = docs.withColumn("_sha", F.sha2(normalized(F.col(text_col)).cast("binary"), 256))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_text"))
-    plain = rows.join(sized(special), same, "left_anti")
-    repeated = special.filter("kept")
+    rows = docs.withColumn(sha, F.sha2(normalized(F.col(text_col)).cast("binary"), 256))
+    same = F.col(id_col).eqNullSafe(F.col(key)) & (F.col(sha) == F.col(digest))
+    kept = rows.join(sized(special), same, "left_anti")
+    repeated = special.filter(F.col(stays))
     if not repeated.isEmpty():
-        plain = plain.unionByName(rows.join(sized(repeated), same, "left_semi").dropDuplicates([id_col, "_sha"]))
-    return plain.drop("_sha")
+        kept = kept.unionByName(rows.join(sized(repeated), same, "left_semi").dropDuplicates([id_col, sha]))
+    return kept.drop(sha)
 
 
 SQL = r"""

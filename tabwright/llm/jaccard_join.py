@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tabwright.llm.bpe import Remembered
-from tabwright.llm.common import ship, sized
+from tabwright.llm.common import fresh, ship, sized
 from tabwright.llm.components import components
 from tabwright.session import materialize
 
@@ -307,6 +307,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return named.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"))
 
 
+def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are alone or have their component's smallest id, with all columns.
+
+    Rows that share an id go only if all of them would.
+    """
+    near = materialize(near_duplicates(docs, id_col, text_col), "jaccard-near")
+    stays = F.max(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    (key,) = fresh(docs, "_id")
+    dropped = near.groupBy(F.col("doc_id").alias(key)).agg(stays.alias("stays")).filter("not stays").select(key)
+    return docs.join(sized(materialize(dropped, "jaccard-dropped")), F.col(id_col).eqNullSafe(F.col(key)), "left_anti")
+
+
 def whole_sets(docs: DataFrame, id_col: str, text: Column, width: int, wanted: DataFrame) -> DataFrame:
     """cls and all shingles of the wanted classes (cls, doc_id), one row each."""
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tabwright.llm.common import WORD, running_total, sized
+from tabwright.llm.common import WORD, fresh, running_total, sized
 from tabwright.session import materialize
 
 # Points of the schedule are i * STEP modulo 2 ** BITS: the golden ratio's fraction as a
@@ -180,15 +180,16 @@ def repeat_documents(docs: DataFrame, id_col: str = "doc_id", **settings) -> Dat
     Rows that share an id share its average, so that rows are not mistaken for each other.
     """
     per_row = taken(*mix(docs, id_col=id_col, **settings))
+    key, times, turn = fresh(docs, "_id", "_times", "_turn")
     copies = materialize(
-        per_row.groupBy(F.col("doc_id").alias("_id"))
-        .agg((F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias("_times"))
-        .select("_id", F.floor(F.col("_times") + 0.5).cast("int").alias("_copies"))
-        .filter("_copies > 0"),
+        per_row.groupBy(F.col("doc_id").alias(key))
+        .agg((F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias("share"))
+        .select(key, F.floor(F.col("share") + 0.5).cast("int").alias(times))
+        .filter(F.col(times) > 0),
         "mix-copies",
     )
-    joined = docs.join(sized(copies), F.col(id_col).eqNullSafe(F.col("_id")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_id", "_copies", "_copy")
+    joined = docs.join(sized(copies), F.col(id_col).eqNullSafe(F.col(key)))
+    return joined.withColumn(turn, F.explode(F.sequence(F.lit(1), F.col(times)))).drop(key, times, turn)
 
 
 SQL = r"""
