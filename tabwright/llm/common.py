@@ -15,7 +15,7 @@ WHITE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 # Most rows of a narrow table (a few numbers a row) that is broadcast; larger ones are shuffled.
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 1_000_000
 
 
 def ship(spark: SparkSession) -> SparkSession:
@@ -35,12 +35,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if a count shows that it has few rows.
+def sized(df: DataFrame, lists: str | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if a count shows that it is small, else as it is, for a shuffled join.
 
-    Pass a stored table: the count then reads its footers only.
+    Pass a stored table: the count then reads its footers, or the column ``lists``, whose
+    elements count as rows.
     """
-    return F.broadcast(df) if df.count() <= rows else df
+    n = df.count() if lists is None else df.agg(F.sum(F.size(lists) + 1)).first()[0] or 0
+    return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

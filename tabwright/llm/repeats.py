@@ -370,7 +370,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = 200, m
         .agg(F.collect_list(F.struct("mark", "piece", F.col("at.start").alias("start"), "windows")).alias("places")),
         "repeat-wanted",
     )
-    parts = pieces_table(texts, sized(wanted), length)
+    parts = pieces_table(texts, sized(wanted, "places"), length)
     crowded = materialize(
         pieces.filter("several").groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most_pieces).select("mark"),
         "repeat-crowded",
@@ -414,6 +414,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pd.DataFrame(out, columns=["n_removed", "n_spans", "kept_sha256", "kept"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *text_key(F.col(text_col)))
-    joined = rows.join(sized(spans), ["th", "size"], "left")
+    joined = rows.join(sized(spans, "spans"), ["th", "size"], "left")
     made = joined.select("doc_id", F.col("size").cast("long").alias("n_bytes"), apply("data", "spans").alias("r"))
     return made.select("doc_id", "n_bytes", "r.n_removed", "r.n_spans", "r.kept_sha256", "r.kept")

@@ -190,7 +190,7 @@ def written(kind: str, value: str, replacement: str) -> str:
             i += c.isalnum()
         return "".join(out) + replacement[len(kept) :]
     if kind == "email":
-        return replacement.upper() if value.isupper() else replacement
+        return "".join([c.upper() if value[i : i + 1].isupper() else c for i, c in enumerate(replacement)])
     if kind.startswith("name"):
         return replacement.upper() if value.isupper() and len(value) > 1 else replacement[:1].upper() + replacement[1:]
     return replacement
@@ -283,5 +283,5 @@ def with_surrogates(docs: DataFrame, key: str, id_col: str = "doc_id", text_col:
             out.append((new, len(spans), [{"start": a, "end": b, "kind": k} for a, b, k in spans]))
         return pd.DataFrame(out, columns=["text", "n_entities", "spans"])
 
-    made = rows.join(sized(special), ["th", "size"], "left").select("doc_id", rewrite("text", "attempts").alias("r"))
+    made = rows.join(sized(special, "attempts"), ["th", "size"], "left").select("doc_id", rewrite("text", "attempts").alias("r"))
     return made.select("doc_id", "r.text", "r.n_entities", "r.spans")
