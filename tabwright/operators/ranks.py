@@ -45,14 +45,69 @@ def exact_ranks(
     rows = rows.select(*by, x_col.alias("_x"))
     for c in (*by, "_x"):
         rows = rows.filter(F.col(c).isNotNull())
+    if not whole:
+        return _with_extremes(rows, by, positions, slices, small)
+    return _ranked(rows, by, positions(F.col("n")), whole, slices, small)
+
+
+def _with_extremes(
+    rows: DataFrame, by: list[str], positions: Callable[[Column], Column], slices: int, small: int
+) -> DataFrame:
+    """Infinities and NaN by their counts, as they come first and last; the others by rank.
+
+    NaN comes after Infinity, as in Spark's own order.
+    """
+    infinite = float("inf")
+    x = F.col("_x")
+    counts = materialize(
+        rows.groupBy(*by).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count(F.when(x == -infinite, 1)).alias("least"),
+            F.count(F.when(x == infinite, 1)).alias("most"),
+            F.count(F.when(F.isnan(x), 1)).alias("nan"),
+        ),
+        "rank_counts",
+    )
+    wanted = counts.withColumn("pos", F.explode(F.array_distinct(positions(F.col("n")))))
+    wanted = wanted.filter((F.col("pos") >= 0) & (F.col("pos") < F.col("n")))
+    last = F.col("n") - F.col("nan") - F.col("most")
+    outer = (
+        F.when(F.col("pos") < F.col("least"), -infinite)
+        .when(F.col("pos") >= F.col("n") - F.col("nan"), float("nan"))
+        .when(F.col("pos") >= last, infinite)
+    )
+    outside = wanted.select(*by, "pos", outer.alias("value")).filter(F.col("value").isNotNull())
+    inside = wanted.filter((F.col("pos") >= F.col("least")) & (F.col("pos") < last))
+    places = inside.groupBy(*by).agg(F.collect_set(F.col("pos") - F.col("least")).alias("places"), F.first("least").alias("least"))
+    finite = rows.filter((x != -infinite) & (x != infinite) & ~F.isnan(x))
+    places = materialize(places, "rank_places")
+    few = places.count() <= FEW_BRACKETS
+    finite = finite.join(F.broadcast(places) if few else places, by)
+    ranked = _ranked(finite.select(*by, "_x"), by, None, False, slices, small, places)
+    return outside.unionByName(
+        ranked.join(places.select(*by, "least"), by).select(*by, (F.col("pos") + F.col("least")).alias("pos"), "value")
+    )
+
+
+def _ranked(
+    rows: DataFrame,
+    by: list[str],
+    positions: Column | None,
+    whole: bool,
+    slices: int,
+    small: int,
+    places: DataFrame | None = None,
+) -> DataFrame:
 
     sized = rows.groupBy(*by).agg(
         F.min("_x").alias("low"), F.max("_x").alias("high"), F.count(F.lit(1)).alias("n")
     )
+    if places is not None:
+        sized, positions = sized.join(places.select(*by, "places"), by), F.col("places")
     state = materialize(
         sized.select(
             *by,
-            F.explode(F.array_distinct(positions(F.col("n")))).alias("pos"),
+            F.explode(F.array_distinct(positions)).alias("pos"),
             "low",
             "high",
             F.lit(0).cast("long").alias("below"),
@@ -62,8 +117,15 @@ def exact_ranks(
     )
     unsettled = (F.col("low") < F.col("high")) & (F.col("n") > small)
     few = state.count() <= FEW_BRACKETS
-    while not state.filter(unsettled).isEmpty():
+    size = F.sum(F.when(unsettled, F.col("n")))
+    left = state.agg(size).first()[0]
+    while left:
         state = materialize(_narrow(rows, state, by, unsettled, whole, slices, few), "ranks")
+        now = state.agg(size).first()[0]
+        # Least and greatest value of a bracket fall into different slices.
+        if now and now >= left:
+            raise RuntimeError("a round of ranking narrowed no bracket")
+        left = now
     return _read_off(rows, state, by, few)
 
 
@@ -85,7 +147,10 @@ def _narrow(
     if whole:
         piece = F.expr(f"(_x - low) div ((high - low) div {slices} + 1)")
     else:
-        share = (F.col("_x") - F.col("low")) / (F.col("high") - F.col("low"))
+        # The span of two doubles can be too large for a double; that of their halves is not.
+        x, low, high = F.col("_x"), F.col("low"), F.col("high")
+        halves = (x / 2 - low / 2) / (high / 2 - low / 2)
+        share = F.when(high - low < float("inf"), (x - low) / (high - low)).otherwise(halves)
         piece = F.least(F.floor(share * slices), F.lit(slices - 1))
     counted = (
         _inside(rows, brackets, by, few)
