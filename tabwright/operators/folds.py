@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.operators.levels import KeyFacts
+from tabwright.operators.levels import FEW_LEVELS, KeyFacts, measure
 from tabwright.operators.lookup import attach
 from tabwright.operators.ranks import exact_ranks
 from tabwright.session import materialize
@@ -94,7 +94,9 @@ def stratified_folds(
     keys = taken.select(strata, order_key.alias("order_key"))
     cuts = materialize(_cut_points(keys, [strata], k), "cuts")
     n_classes = cuts.count()
-    joined = attach(df, cuts, strata, KeyFacts(n_classes, 0), spread_by=df.columns)
+    # Few classes are broadcast; of many, the hot ones must be known.
+    facts = KeyFacts(n_classes, 0) if n_classes < FEW_LEVELS else measure(taken, [strata])[0][strata]
+    joined = attach(df, cuts, strata, facts, spread_by=df.columns)
     passed = F.coalesce(F.size(F.filter("cuts", lambda c: c <= order_key)), F.lit(0))
     keep = F.col(strata).isNotNull() if where is None else where & F.col(strata).isNotNull()
     return joined.withColumn(name, F.when(keep, F.greatest(passed, F.lit(0)))).drop("cuts")
@@ -139,3 +141,8 @@ def repeated_folds(
     names = [f"{prefix}_{r}" for r in range(repeats)]
     cuts = {name: found.get(r, []) for r, name in enumerate(names)}
     return _with_folds(df, dict(zip(names, order_keys)), cuts, where)
+
+
+def fold_of(df: DataFrame, fold: str) -> Column:
+    """The fold column; a table without one, such as a new table, has no folds."""
+    return F.col(fold).cast("int") if fold in df.columns else F.lit(None).cast("int")

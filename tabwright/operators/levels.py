@@ -23,6 +23,14 @@ ARRAY_CELLS = 16
 FEW_LEVELS = 4_000
 
 
+def unused(columns: Sequence[str], name: str) -> str:
+    """``name``, lengthened until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def key_columns(key: Key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.operators.levels import Key, KeyFacts, key_columns, level_of
+from tabwright.operators.levels import Key, KeyFacts, key_columns, level_of, unused
 
 
 def attach(
@@ -34,13 +34,15 @@ def attach(
     is_hot = level.isin(*facts.hot) if facts.hot else F.lit(False)
     loose = level.isNull() | is_hot
     spread_by = list(spread_by or rows.columns)
-    keyed = rows.withColumn("_spread", F.when(loose, F.xxhash64(*spread_by)).otherwise(F.lit(0)))
-    cold = stats.filter(~is_hot).withColumn("_spread", F.lit(0).cast("long"))
-    joined = keyed.join(cold, [*on, "_spread"], "left").drop("_spread")
+    spread = unused([*rows.columns, *stats.columns], "_spread")
+    keyed = rows.withColumn(spread, F.when(loose, F.xxhash64(*spread_by)).otherwise(F.lit(0)))
+    cold = stats.filter(~is_hot).withColumn(spread, F.lit(0).cast("long"))
+    joined = keyed.join(cold, [*on, spread], "left").drop(spread)
     if facts.hot:
-        hot = stats.filter(is_hot).select(*on, *[F.col(v).alias(f"_hot_{v}") for v in values])
+        hot_names = {v: unused([*rows.columns, *stats.columns], f"_hot_{v}") for v in values}
+        hot = stats.filter(is_hot).select(*on, *[F.col(v).alias(h) for v, h in hot_names.items()])
         joined = joined.join(F.broadcast(hot), on, "left").select(
-            *rows.columns, *[F.coalesce(F.col(v), F.col(f"_hot_{v}")).alias(v) for v in values]
+            *rows.columns, *[F.coalesce(F.col(v), F.col(h)).alias(v) for v, h in hot_names.items()]
         )
     return joined.select(*rows.columns, *values)
 
@@ -53,8 +55,9 @@ def lookup_level(
     spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """``attach`` for a table keyed by the text form of the key (column ``level``)."""
-    keyed = rows.withColumn("level", level_of(key))
-    return attach(keyed, model, "level", facts, spread_by or rows.columns).drop("level")
+    own = unused([*rows.columns, *model.columns], "_level")
+    keyed = rows.withColumn(own, level_of(key))
+    return attach(keyed, model.withColumnRenamed("level", own), own, facts, spread_by or rows.columns).drop(own)
 
 
 def lookup_packed(
@@ -73,7 +76,7 @@ def lookup_packed(
     packed = model.select("level", F.struct(*[c for c in model.columns if c != "level"]).alias(name))
     if not facts.fits_broadcast(packed):
         return lookup_level(rows, packed, key, facts, spread_by)
-    own = f"_level_{name}"
+    own = unused(rows.columns, f"_level_{name}")
     keyed = F.broadcast(packed.withColumnRenamed("level", own))
     return rows.join(keyed, level_of(key) == F.col(own), "left")
 

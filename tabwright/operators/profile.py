@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.moments import SIMPLE_STATS
-from tabwright.operators.levels import Key, KeyFacts, key_columns, key_name, measure
+from tabwright.operators.levels import Key, KeyFacts, key_columns, key_name, measure, unused
 from tabwright.operators.lookup import attach
 from tabwright.operators.ranks import exact_ranks
 from tabwright.session import materialize
@@ -74,7 +74,9 @@ def _mean_deviations(base: DataFrame, key: Key, xs: Sequence[str], facts: KeyFac
     """Mean absolute deviation around the group mean: needs the means first."""
     on = key_columns(key)
     means = base.groupBy(*on).agg(*[F.avg(x).alias(f"_mean_{x}") for x in xs])
-    joined = attach(base.select(*on, *xs), means, key, facts)
+    # A number of its own for every row, so that equal rows of a hot level are spread too.
+    row = unused([*on, *xs], "_row")
+    joined = attach(base.select(*on, *xs, F.monotonically_increasing_id().alias(row)), means, key, facts, [row])
     return joined.groupBy(*on).agg(
         *[F.avg(F.abs(F.col(x) - F.col(f"_mean_{x}"))).alias(stat_name(key, x, "mad")) for x in xs]
     )
@@ -119,7 +121,7 @@ def attach_profile(
     fitted_on: DataFrame,
     key: Key,
     xs: Mapping[str, Column],
-    stats: Sequence[str],
+    stats: Sequence[str] | Mapping[str, Sequence[str]],
     facts: KeyFacts | None = None,
     where: Mapping[str, Column] | None = None,
     spread_by: Sequence[str] | None = None,

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.functions.scalars import WeightHook, weight_hook
-from tabwright.operators.levels import KeyFacts, facts_of, unpivot_levels
+from tabwright.operators.folds import fold_of
+from tabwright.operators.levels import KeyFacts, facts_of, unpivot_levels, unused
 from tabwright.operators.lookup import lookup_level
 from tabwright.operators.profile import global_profile, profile, stat_name
 from tabwright.session import materialize
@@ -76,20 +77,24 @@ class SmoothedMeanEncoder(Estimator):
     def _fit(self, dataset: DataFrame) -> "MeanEncoding":
         outputs = self._outputs()
         places = {name: f"y{i}" for i, name in enumerate(outputs)}
+        ys = list(places.values())
+        # Features may have these names themselves.
+        own = {c: unused(self.features, f"_{c}") for c in ("fold", *ys)}
         labelled = dataset.filter(F.col(self.fold).isNotNull()).select(
             *self.features,
-            F.col(self.fold).cast("int").alias("fold"),
-            *[y.alias(places[name]) for name, y in outputs.items()],
+            F.col(self.fold).cast("int").alias(own["fold"]),
+            *[y.alias(own[places[name]]) for name, y in outputs.items()],
         )
-        ys = list(places.values())
         aggs = [F.count(F.lit(1)).alias("n"), *[F.sum(y).alias(y) for y in ys]]
 
-        fold_sums = {r["fold"]: r for r in labelled.groupBy("fold").agg(*aggs).collect()}
+        bare = labelled.select(*[F.col(c).alias(name) for name, c in own.items()])
+        fold_sums = {r["fold"]: r for r in bare.groupBy("fold").agg(*aggs).collect()}
         priors = {
             name: [_prior(fold_sums, y, f) for f in range(self.k)] for name, y in places.items()
         }
 
-        long = unpivot_levels(labelled, self.features, carry=["fold", *ys])
+        long = unpivot_levels(labelled, self.features, carry=list(own.values()))
+        long = long.withColumnsRenamed({c: name for name, c in own.items()})
         parts = _partials(long, ["feature", "level"], aggs)
         encoded = parts.select(
             "feature",
@@ -155,7 +160,7 @@ class MeanEncoding(Model):
     def finish(self, joined: DataFrame, feature: str) -> DataFrame:
         """Replace the looked-up arrays: rows with a fold get that fold's encoding, all
         others the mean over folds, and unseen levels the priors."""
-        f = F.col(self.fold).cast("int") + 1
+        f = fold_of(joined, self.fold) + 1
         return joined.withColumns(
             {f"{feature}_{n}": self._value(F.col(f"{feature}_{n}"), p, f) for n, p in self.priors.items()}
         )
@@ -219,13 +224,16 @@ class FoldTargetEncoder(Estimator):
         self.fold, self.stats = fold, list(stats)
 
     def _fit(self, dataset: DataFrame) -> "TargetEncoding":
+        # Features may have these names themselves.
+        own = {c: unused(self.features, f"_{c}") for c in ("fold", "y")}
         labelled = dataset.filter(F.col(self.fold).isNotNull()).select(
             *self.features,
-            F.col(self.fold).cast("int").alias("fold"),
-            F.col(self.target).cast("double").alias("y"),
+            F.col(self.fold).cast("int").alias(own["fold"]),
+            F.col(self.target).cast("double").alias(own["y"]),
         )
-        defaults = self._defaults(labelled)
-        long = unpivot_levels(labelled, self.features, carry=["fold", "y"])
+        defaults = self._defaults(labelled.select(F.col(own["y"]).alias("y")))
+        long = unpivot_levels(labelled, self.features, carry=list(own.values()))
+        long = long.withColumnsRenamed({c: name for name, c in own.items()})
         aggs = [
             F.count("y").alias("n"),
             F.count(F.lit(1)).alias("rows"),
@@ -310,7 +318,7 @@ class TargetEncoding(Model):
 
     def finish(self, joined: DataFrame, feature: str) -> DataFrame:
         """Replace the looked-up arrays as the mean encoding does; unseen levels get the default."""
-        f = F.col(self.fold).cast("int") + 1
+        f = fold_of(joined, self.fold) + 1
         names = {s: f"{feature}_target_{s}" for s in self.stats}
         return joined.withColumns({v: self._value(v, self.defaults[s], f) for s, v in names.items()})
 
