@@ -15,26 +15,18 @@ from tabwright.plans.registry import on_listing, query, round_columns, rounded,
 from tabwright.session import materialize
 from tabwright.sources.tables import stored_listing, table
 
-VECTOR_LENGTH = 64
-_X = [f"x_{i}" for i in range(VECTOR_LENGTH)]
-
-
-def _sql_unpacked() -> str:
-    return ", ".join(f"cast(list_extract(embedding, {i + 1}) as double) as {x}" for i, x in enumerate(_X))
-
-
-def _sql_minmax() -> str:
-    cells = ", ".join(
-        f"{sql_rounded(f'case when max({x}) over () = min({x}) over () then 0 else ({x} - min({x}) over ()) / (max({x}) over () - min({x}) over ()) end', 6)} as {x}"
-        for x in _X
-    )
-    return f"select vec_id, label, {cells} from (select vec_id, label, {_sql_unpacked()} from embeddings) q"
-
-
-@query("minmax_scale", _sql_minmax())
+@query(
+    "minmax_scale",
+    f"""select vec_id, label, pos, {sql_rounded('case when high = low then 0 else (value - low) / (high - low) end', 6)} as scaled
+        from (select *, min(value) over (partition by pos) as low, max(value) over (partition by pos) as high
+              from (select vec_id, label, cast(pos as int) as pos, cast(list_extract(embedding, pos + 1) as double) as value
+                    from (select *, unnest(range(0, len(embedding))) as pos from embeddings) a) b) c""",
+)
 def minmax_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = matrix.unpack(table(spark, sf_dir, "embeddings"), "embedding", VECTOR_LENGTH)
-    return round_columns(matrix.minmax_scale(rows, _X), 6)
+    """Whole vectors, an element a row."""
+    rows = matrix.minmax_scale_array(table(spark, sf_dir, "embeddings"), "embedding")
+    cells = rows.select("vec_id", "label", F.posexplode("embedding").alias("pos", "scaled"))
+    return cells.withColumn("scaled", rounded(F.col("scaled"), 6))
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +51,8 @@ def pca_project(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pca_row_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With every component kept, the projection preserves each row's distance to the centre."""
     rows = _vectors(spark, sf_dir)
-    projected = matrix.fit_projection(rows, "features", VECTOR_LENGTH).transform(rows)
+    size = table(spark, sf_dir, "embeddings").agg(F.max(F.size("embedding"))).first()[0]
+    projected = matrix.fit_projection(rows, "features", size).transform(rows)
     squares = F.aggregate(
         vector_to_array("components"), F.lit(0.0), lambda acc, x: acc + x * x
     )
@@ -70,48 +63,90 @@ def pca_row_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 NUMERIC_FEATURES = ["power", "kilometer", "acctbal", "days", "brand_code", "model", "gearbox"]
 LEARN_FOLDS = 5
-ROUNDS = 8
 
 
-def learner_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features, log price and shuffled folds; unlabelled rows have neither label nor fold."""
+def learner_rows(spark: SparkSession, sf_dir: str, gap: float) -> DataFrame:
+    """Features, log price and shuffled folds; unlabelled rows have neither label nor fold.
+
+    ``gap`` stands for missing features.
+    """
     rows = dated(spark, sf_dir, "is_train", "price", "power", "kilometer", "acctbal", "brand", "model", "gearbox", *VECTOR)
     rows = rows.withColumns(
         {"brand_code": F.substring("brand", 1, 1).cast("int"), "label": S.to_log(F.col("price"))}
     )
     rows = matrix.as_vector(rows, [*NUMERIC_FEATURES, *VECTOR], keep=["sale_id", "is_train", "label"])
-    rows = materialize(matrix.fill_gaps(rows), "learner")
+    rows = materialize(matrix.fill_gaps(rows, value=gap), "learner")
     return folds.shuffled_folds(rows, LEARN_FOLDS, "sale_id", 2018, where=F.col("is_train"))
 
 
-def _cross_fitted(spark: SparkSession, sf_dir: str, make) -> DataFrame:
-    rows = learner_rows(spark, sf_dir)
+def _cross_fitted(spark: SparkSession, sf_dir: str, make, gap: float = learn.MISSING) -> DataFrame:
+    rows = learner_rows(spark, sf_dir, gap)
     return learn.cross_fit(rows, make, LEARN_FOLDS).transform(rows)
 
 
+def _boosted(spark: SparkSession, sf_dir: str, make) -> DataFrame:
+    out = _cross_fitted(spark, sf_dir, make)
+    return out.select("sale_id", "is_train", S.floor_at_zero(F.col("prediction")).alias("price"))
+
+
 @query("oof_gbt")
 def oof_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _cross_fitted(spark, sf_dir, lambda: learn.boosted_trees(rounds=ROUNDS))
-    return out.select("sale_id", "is_train", S.floor_at_zero(F.col("prediction")).alias("price"))
+    return _boosted(spark, sf_dir, learn.boosted_trees)
 
 
 @query("oof_gbt_b")
 def oof_gbt_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _cross_fitted(spark, sf_dir, lambda: learn.boosted_trees_b(rounds=ROUNDS))
-    return out.select("sale_id", "is_train", S.floor_at_zero(F.col("prediction")).alias("price"))
+    return _boosted(spark, sf_dir, learn.boosted_trees_b)
+
+
+@query(
+    "oof_gbt_checks",
+    on_listing("select is_train, count(*) as n, count(distinct sale_id) as sales, 0::bigint as negative, count(*) as finite from listing group by is_train"),
+)
+def oof_gbt_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds for any booster: one finite prediction per sale, none of them negative."""
+    price = F.col("price")
+    return (
+        oof_gbt(spark, sf_dir)
+        .groupBy("is_train")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_distinct("sale_id").alias("sales"),
+            F.count(F.when(price < 0, 1)).alias("negative"),
+            F.count(F.when(price.isNotNull() & ~F.isnan(price) & (price < float("inf")), 1)).alias("finite"),
+        )
+    )
 
 
 @query("cross_fit_linear")
 def cross_fit_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _cross_fitted(spark, sf_dir, learn.robust_linear)
+    out = _cross_fitted(spark, sf_dir, learn.robust_linear, gap=0.0)
     return out.select("sale_id", "is_train", F.col("prediction").alias("price"))
 
 
 @query("feature_importance")
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = learner_rows(spark, sf_dir).filter("is_train")
-    model = learn.boosted_trees(rounds=ROUNDS, early_stop=False).fit(rows)
-    return learn.feature_importance(model, [*NUMERIC_FEATURES, *VECTOR], rows)
+    """Importances averaged over the fold models, each stopped on its held-out fold."""
+    rows = learner_rows(spark, sf_dir, learn.MISSING)
+    models = learn.cross_fit(rows, learn.boosted_trees, LEARN_FOLDS)
+    return learn.feature_importance(models, [*NUMERIC_FEATURES, *VECTOR], rows)
+
+
+@query(
+    "feature_importance_checks",
+    f"select {len(NUMERIC_FEATURES) + len(VECTOR)}::bigint as features, 1.0::double as total, 1 as first, {len(NUMERIC_FEATURES) + len(VECTOR)} as last, true as falling",
+)
+def feature_importance_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importances add up to 1 and fall with the rank."""
+    out = feature_importance(spark, sf_dir)
+    ranked = F.sort_array(F.collect_list(F.struct("rank", "importance")))["importance"]
+    return out.agg(
+        F.count(F.lit(1)).alias("features"),
+        rounded(F.sum("importance"), 6).alias("total"),
+        F.min("rank").alias("first"),
+        F.max("rank").alias("last"),
+        (F.sort_array(ranked, asc=False) == ranked).alias("falling"),
+    )
 
 
 # Stacking. The base predictions are out-of-fold means, which SQL can state exactly.
@@ -129,7 +164,8 @@ def base_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoder = FoldTargetEncoder(list(STACK_KEYS.values()), "label", STACK_FOLDS, stats=["mean"])
     out = encoder.fit(rows).transform(rows)
     predictions = [F.col(f"{key}_target_mean").alias(name) for name, key in STACK_KEYS.items()]
-    return out.select("sale_id", "is_train", "price", "label", "fold", *predictions)
+    # Cut points, repeats and the final projection all read these.
+    return materialize(out.select("sale_id", "is_train", "price", "label", "fold", *predictions), "base_predictions")
 
 
 def _sql_base() -> str:
@@ -315,3 +351,19 @@ def stage_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = stack.stage_scores(rows, F.col("price"), {"a": a, "b": b, "blend": stack.blend([a, b])})
     return round_columns(scores, 3)
 
+
+@query(
+    "stage_scores_own_metric",
+    on_listing(
+        "\nunion all\n".join(
+            f"select '{stage}' as stage, {sql_rounded(f'sqrt(avg(power(price - ({e}), 2)))', 3)} as mae from base where is_train"
+            for stage, e in (("a", "exp(pred_a) - 1"), ("b", "exp(pred_b) - 1"))
+        ),
+        _sql_base(),
+    ),
+)
+def stage_scores_own_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A metric of the caller's own: the root of the mean squared error in the price's scale."""
+    rows = base_predictions(spark, sf_dir)
+    stages = {"a": S.from_log(F.col("pred_a")), "b": S.from_log(F.col("pred_b"))}
+    return round_columns(stack.stage_scores(rows, F.col("price"), stages, lambda y, p: F.sqrt(F.avg(F.pow(y - p, F.lit(2.0))))), 3)
