@@ -48,6 +48,15 @@ def kfold_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folds.shuffled_folds(orders, 5, "o_orderkey", 2018)
 
 
+@query(
+    "kfold_hashed_sizes",
+    "select fold, count(*) as n from (select cast(ntile(5) over (order by o_orderkey) - 1 as int) as fold from orders) group by fold",
+)
+def kfold_hashed_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The folds of the hashed order are as large as any k folds."""
+    return kfold_hashed(spark, sf_dir).groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("kfold_modulo", "select o_orderkey, cast(o_orderkey % 7 as int) as fold from orders")
 def kfold_modulo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folds.modulo_folds(table(spark, sf_dir, "orders").select("o_orderkey"), 7, "o_orderkey")
@@ -127,12 +136,15 @@ def mean_encode_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 TEXT_CATEGORIES = ("lang", "source")
 
 
-def _sql_classification(k: int, classes: Sequence[int] = (0, 1)) -> str:
+def _sql_classification(k: int, classes: Sequence[int] = (0, 1), apply: bool = False) -> str:
     cells, joins, tables = [], [], []
+    # Applied, every document meets every fold, and the folds are averaged.
+    row, mean = ("d", "avg") if apply else ("lab", "")
+    fold = "folds" if apply else "lab"
     for v in classes:
         y = f"case when l.quality = {v} then 1.0::double else 0.0::double end"
         tables.append(f"prior_{v} as (select f.fold, avg({y}) as p from folds f join lab l on l.fold <> f.fold group by f.fold)")
-        joins.append(f"join prior_{v} on prior_{v}.fold = lab.fold")
+        joins.append(f"join prior_{v} on prior_{v}.fold = {fold}.fold")
         for c in TEXT_CATEGORIES:
             name = f"s_{c}_{v}"
             tables.append(
@@ -141,24 +153,45 @@ def _sql_classification(k: int, classes: Sequence[int] = (0, 1)) -> str:
                         from folds f join lab l on l.fold <> f.fold group by f.fold, l.{c}) s
                       join prior_{v} on prior_{v}.fold = s.fold)"""
             )
-            joins.append(f"left join {name} on {name}.fold = lab.fold and {name}.{c} = lab.{c}")
-            cells.append(f"{sql_rounded(f'coalesce({name}.enc, prior_{v}.p)', 6)} as {c}_pred_{v}")
+            joins.append(f"left join {name} on {name}.fold = {fold}.fold and {name}.{c} = {row}.{c}")
+            cells.append(f"{sql_rounded(f'{mean}(coalesce({name}.enc, prior_{v}.p))', 6)} as {c}_pred_{v}")
     return f"""with lab as (select l.doc_id, l.quality, d.lang, d.source,
                         ntile({k}) over (partition by l.quality order by l.doc_id) - 1 as fold
                  from labels l join documents d on d.doc_id = l.doc_id),
                folds as (select distinct fold from lab), {', '.join(tables)}
-               select lab.doc_id, {', '.join(cells)} from lab {' '.join(joins)}"""
+               select {row}.doc_id, {', '.join(cells)}
+               from {'documents d join folds on true' if apply else 'lab'} {' '.join(joins)}
+               {'where d.doc_id not in (select doc_id from lab) group by d.doc_id' if apply else ''}"""
 
 
-@query("mean_encode_classification", _sql_classification(5))
-def mean_encode_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Most classes of a classification target; an encoder makes a column for each.
+MOST_CLASSES = 100
+
+
+def _fit_quality(spark: SparkSession, sf_dir: str):
+    """The fitted encoder, the labelled rows, all documents, and the output columns."""
     documents = table(spark, sf_dir, "documents").select("doc_id", *TEXT_CATEGORIES)
     rows = table(spark, sf_dir, "labels").select("doc_id", "quality").join(documents, "doc_id")
     rows = folds.stratified_folds(rows, 5, F.col("doc_id"), "quality")
-    classes = [r[0] for r in rows.select("quality").distinct().orderBy("quality").collect()]
-    out = SmoothedMeanEncoder(TEXT_CATEGORIES, "quality", 5, classes=classes).fit(rows).transform(rows)
-    names = [f"{c}_pred_{v}" for c in TEXT_CATEGORIES for v in classes]
-    return round_columns(out.select("doc_id", *names), 6)
+    classes = [r[0] for r in rows.select("quality").distinct().orderBy("quality").limit(MOST_CLASSES + 1).collect()]
+    if len(classes) > MOST_CLASSES:
+        raise ValueError(f"the target has more than {MOST_CLASSES} classes")
+    encoder = SmoothedMeanEncoder(TEXT_CATEGORIES, "quality", 5, classes=classes).fit(rows)
+    return encoder, rows, documents, [f"{c}_pred_{v}" for c in TEXT_CATEGORIES for v in classes]
+
+
+@query("mean_encode_classification", _sql_classification(5))
+def mean_encode_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoder, rows, _, names = _fit_quality(spark, sf_dir)
+    return round_columns(encoder.transform(rows).select("doc_id", *names), 6)
+
+
+@query("mean_encode_classification_apply", _sql_classification(5, apply=True))
+def mean_encode_classification_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without a label have no fold, nor a fold column: the mean over folds."""
+    encoder, rows, documents, names = _fit_quality(spark, sf_dir)
+    unlabelled = documents.join(rows.select("doc_id"), "doc_id", "left_anti")
+    return round_columns(encoder.transform(unlabelled).select("doc_id", *names), 6)
 
 
 TARGET_CATEGORIES = ("region_code", "brand", "model", "body_type", "fuel_type", "kilometer", "name")

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tabwright.session import materialize
 
 VECTOR_SIZE = 15
+# Vectors that are broadcast to the sales; more are joined by a shuffle.
+BROADCAST_VECTORS = 20_000
 
 CUSTOMER_COLUMNS = {"body_type", "region_code", "acctbal"}
 LINE_COLUMNS = {"creat_date", "gearbox", "kilometer", "power"}
@@ -49,13 +51,11 @@ def listing(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFra
         df = df.join(customers, "o_custkey", "left")
 
     if wanted & VECTOR_COLUMNS:
-        # Sales share the first 500 vectors, so this side never holds more than 500 rows.
-        vectors = (
-            table(spark, sf_dir, "embeddings")
-            .filter(F.col("vec_id").between(0, 499))
-            .select("vec_id", "embedding")
-        )
-        df = df.withColumn("vec_id", key % 500).join(F.broadcast(vectors), "vec_id", "left")
+        # Sales share all vectors in turn.
+        vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+        n = max(1, vectors.count())
+        side = F.broadcast(vectors) if n <= BROADCAST_VECTORS else vectors
+        df = df.withColumn("vec_id", key % n).join(side, "vec_id", "left")
 
     labelled = key % 4 != 0
     exprs = {
@@ -113,5 +113,5 @@ from orders o
 left join customer c on c.c_custkey = o.o_custkey
 left join (select l_orderkey, max(l_shipdate) as ship, count(*) as n_lines, sum(l_quantity) as qty
            from lineitem group by l_orderkey) l on l.l_orderkey = o.o_orderkey
-left join embeddings e on e.vec_id = o.o_orderkey % 500
+left join embeddings e on e.vec_id = o.o_orderkey % (select count(*) from embeddings)
 """
