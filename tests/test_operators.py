@@ -98,6 +98,28 @@ def test_exact_ranks(rows, skewed, slices, small):
     assert {(r["cat"], r["pos"]): r["value"] for r in got} == expected
 
 
+@pytest.mark.parametrize("small", [1, 10])
+def test_exact_ranks_with_values_that_are_no_numbers(spark, small):
+    inf, nan = float("inf"), float("nan")
+    groups = {
+        0: [inf, -inf, nan, 1.5, 2.5, -3.0] * 7,
+        1: [1e308, -1e308, 5e-324, 0.0, -0.0, 1.0] * 5,
+        2: [nan] * 4 + [inf] * 3,
+        3: [*range(100), inf],
+    }
+    df = spark.createDataFrame([(g, float(v)) for g, vs in groups.items() for v in vs], "g int, v double")
+    got = ranks.exact_ranks(df, ["g"], "v", lambda n: F.sequence(F.lit(0), n - 1), 3, small).collect()
+    for g, vs in groups.items():
+        # NaN is the largest, as in Spark's order.
+        want = sorted(map(float, vs), key=lambda v: (np.isnan(v), 0 if np.isnan(v) else v))
+        mine = [r["value"] for r in sorted((r for r in got if r["g"] == g), key=lambda r: r["pos"])]
+        np.testing.assert_array_equal(mine, want)
+    built_in = {r["g"]: r["m"] for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
+    ours = profile.profile(df, "g", {"v": F.col("v")}, ["median"], median_rows=5)
+    for r in ours.collect():
+        np.testing.assert_equal(r["g_v_median"], built_in[r["g"]])
+
+
 def test_exact_ranks_of_whole_numbers_with_ties(spark):
     values = [5] * 50 + [9] * 3 + list(range(-20, 0))
     df = spark.createDataFrame([(0, v) for v in values], "g int, v long")
@@ -347,3 +369,26 @@ def test_drop_rows_keeps_unknown(spark):
 def test_scratch_dir_is_the_configured_one(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     assert scratch_dir(spark) == configured
+
+
+@pytest.mark.parametrize("estimator", [target.SmoothedMeanEncoder, target.FoldTargetEncoder])
+def test_encoders_with_clashing_names_and_on_new_tables(spark, estimator):
+    """Features and other columns may be called as the encoder's own; a new table has no folds."""
+    rows = [(i, "ab"[i % 2], "xyz"[i % 3], f"k{i}", float(i), i % 4) for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, y string, fold string, level string, price double, part int")
+    model = estimator(["y", "fold"], "price", 4, fold="part").fit(df)
+    out = model.transform(df)
+    assert out.columns[: len(df.columns)] == df.columns
+    assert {r["level"] for r in out.collect()} == {r[3] for r in rows}
+    new = model.transform(df.drop("part"))
+    same = model.transform(df.withColumn("part", F.lit(None).cast("int"))).drop("part")
+    assert new.exceptAll(same).count() == 0
+    plain = df.withColumnsRenamed({"y": "f1", "fold": "f2"})
+    other = estimator(["f1", "f2"], "price", 4, fold="part").fit(plain).transform(plain)
+    assert out.toDF(*other.columns).exceptAll(other).count() == 0
+
+
+def test_count_encode_keeps_a_column_called_level(spark):
+    df = spark.createDataFrame([("a", 1, 7), ("a", 2, 8), (None, 3, 9)], "k string, level int, _spread int")
+    got = sorted(map(tuple, frequency.count_encode(df, ["k"]).collect()), key=lambda r: r[1])
+    assert got == [("a", 1, 7, 2), ("a", 2, 8, 2), (None, 3, 9, None)]

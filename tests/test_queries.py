@@ -7,11 +7,9 @@ from tests.oracle import compare
 
 QUERIES = entry.queries()
 SQL = entry.oracle_sql()
-# These take minutes and are covered on smaller input in test_end_to_end.py.
-SLOW = {"nn_features", "stacked_price"}
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in SLOW])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in entry.TEXT_QUERIES])
 def test_query(spark, sf_dir, name):
     assert compare(spark, sf_dir, QUERIES[name], SQL.get(name)) is None
 
