@@ -60,8 +60,24 @@ def scratch_dir(spark: SparkSession) -> str:
     return base
 
 
+# Paths of this process's intermediate tables, for ``clear_scratch``.
+_WRITTEN: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark).rstrip('/')}/tabwright/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark).rstrip('/')}/tabwright/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables that this process has written; returns how many there were.
+
+    Results that still read them must have been stored before.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    paths, _WRITTEN[:] = list(_WRITTEN), []
+    return sum(bool(p.getFileSystem(conf).delete(p, True)) for p in map(jvm.org.apache.hadoop.fs.Path, paths))
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -392,3 +392,14 @@ def test_count_encode_keeps_a_column_called_level(spark):
     df = spark.createDataFrame([("a", 1, 7), ("a", 2, 8), (None, 3, 9)], "k string, level int, _spread int")
     got = sorted(map(tuple, frequency.count_encode(df, ["k"]).collect()), key=lambda r: r[1])
     assert got == [("a", 1, 7, 2), ("a", 2, 8, 2), (None, 3, 9, None)]
+
+
+def test_scratch_tables_can_be_cleared(spark, monkeypatch):
+    from tabwright import session
+
+    monkeypatch.setattr(session, "_WRITTEN", [])
+    kept = materialize(spark.range(5).toDF("id"), "kept")
+    path = kept.inputFiles()[0]
+    assert session.clear_scratch(spark) == 1 and session.clear_scratch(spark) == 0
+    with pytest.raises(Exception):
+        spark.read.parquet(path.rsplit("/", 1)[0]).count()
