@@ -14,13 +14,20 @@ from pyspark.sql import Window as W
 WHITE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 # Most rows of a narrow table (a few numbers a row) that is broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 1_000_000
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Send this package to the executors once per application, as ``--py-files`` would."""
+    """Send this package to the executors once per application, as ``--py-files`` would.
+
+    Batches that go to Python hold whole texts, so they get fewer rows than Spark's default,
+    unless the session has another value.
+    """
     context = spark.sparkContext
+    if spark.conf.get(ARROW_ROWS) == "10000":
+        spark.conf.set(ARROW_ROWS, "2000")
     if not getattr(context, "_tabwright_shipped", False):
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         # The driver's own folder will do: executors fetch the file from the driver.

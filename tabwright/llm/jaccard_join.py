@@ -20,18 +20,18 @@ from tabwright.session import materialize
 # Two sets are near when 100 * intersection >= PERCENT * union.
 PERCENT = 75
 WIDTH = 5
-# Share of a set, in the common order of shingles, by which candidates meet. Above 1 - 0.75, so
-# that near sets share several of them.
-PREFIX = 0.30
+# Percentage of a set, in the common order of shingles, by which candidates meet. Above
+# 100 - 75, so that near sets share several of them.
+PREFIX = 30
 # Documents whose shingles say which ones are frequent, how often a frequent one is there at
 # least, and how many of those are remembered. They only shape the order, not the result.
 SAMPLE_DOCS = 10_000
 SAMPLE_SEEN = 3
 FREQUENT = 100_000
+# Rows that a function hands on at a time.
+ROWS_OUT = 100_000
 # Members of a pivot that one task compares.
 MEMBERS = 2000
-# Pivots of a meeting in a round, after the first rounds.
-PIVOTS = 8
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -53,31 +53,41 @@ def shingles(data: bytes, width: int = WIDTH) -> np.ndarray:
     if not words:
         return np.zeros(0, np.uint64)
     known = word_hashes()
-    h = np.fromiter((known[w] for w in words), np.uint64, len(words))
+    h = mixed(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
     wide = min(width, len(h))
     total = np.full(len(h) - wide + 1, wide, np.uint64)
     for i in range(wide):
-        total = (total ^ mixed(h[i : len(h) - wide + 1 + i])) * _FACTORS[i % len(_FACTORS)]
+        total = (total ^ h[i : len(h) - wide + 1 + i]) * _FACTORS[i % len(_FACTORS)]
     return np.unique(mixed(total))
 
 
-def prefix_size(n: np.ndarray) -> np.ndarray:
+def prefix_size(n: int) -> int:
     """Shingles of a set of n by which it meets others."""
-    return np.minimum(n, np.maximum(n - -(-PERCENT * n // 100) + 1, np.floor(PREFIX * n).astype(np.int64) + 1))
+    return min(n, max(n - -(-PERCENT * n // 100) + 1, PREFIX * n // 100 + 1))
 
 
-def least_shared(n: np.ndarray) -> np.ndarray:
-    """How many shingles of its prefix a set of n has in common with any near set's prefix, at least.
+def unmet(n: Column) -> Column:
+    """Shingles of a set of n that are not in its prefix."""
+    prefix = F.greatest(n - F.ceil(PERCENT * n / 100) + 1, F.floor(PREFIX * n / 100) + 1)
+    return n - F.least(n, prefix)
 
-    Sets of n and m that are near share a = ceil(p (n + m) / (100 + p)) shingles. In the common
-    order, those up to the earlier prefix's end are in both prefixes; beyond it one of the sets
-    has only what its prefix leaves. The bound is least at one of the sizes that near sets can have.
+
+def pair_shared(n: Column, m: Column) -> Column:
+    """How many shingles the prefixes of near sets of n and m have in common, at least.
+
+    Near sets share a = ceil(p (n + m) / (100 + p)) shingles. In the common order, those up to
+    the earlier prefix's end are in both prefixes; beyond it one of the sets has only what
+    its prefix leaves.
     """
-    found = np.full(n.shape, np.iinfo(np.int64).max)
-    for m in (-(-PERCENT * n // 100), 100 * n // PERCENT, n):
-        shared = -(-PERCENT * (n + m) // (100 + PERCENT))
-        found = np.minimum(found, shared - np.maximum(n - prefix_size(n), m - prefix_size(m)))
-    return np.maximum(1, found - 1)
+    shared = F.ceil(PERCENT * (n + m) / (100 + PERCENT))
+    return F.greatest(F.lit(1), shared - F.greatest(unmet(n), unmet(m))).cast("long")
+
+
+def least_shared(n: Column) -> Column:
+    """The same for a set of n and any near set: the bound is least at one end of the sizes it can
+    have, up to rounding."""
+    ends = (F.ceil(PERCENT * n / 100), F.floor(100 * n / PERCENT), n)
+    return F.greatest(F.lit(1), F.least(*[pair_shared(n, m.cast("long")) for m in ends]) - 1)
 
 
 def frequent_shingles(docs: DataFrame, text: Column, width: int) -> np.ndarray:
@@ -89,8 +99,9 @@ def frequent_shingles(docs: DataFrame, text: Column, width: int) -> np.ndarray:
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for data in batch["data"]:
-                yield pd.DataFrame({"s": shingles(data, width).view(np.int64)})
+            found = [shingles(data, width).view(np.int64) for data in batch["data"]]
+            if found:
+                yield pd.DataFrame({"s": np.concatenate(found)})
 
     seen = drawn.dropDuplicates(["data"]).mapInPandas(make, "s long").groupBy("s").agg(F.count(F.lit(1)).alias("n"))
     top = seen.filter(F.col("n") >= SAMPLE_SEEN).orderBy(F.desc("n"), "s").limit(FREQUENT).select("s").toPandas()
@@ -112,7 +123,7 @@ def sets_table(docs: DataFrame, id_col: str, text: Column, width: int, frequent:
                     if len(frequent):
                         at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
                         rare = frequent[at] != s
-                    k = int(prefix_size(np.array(n)))
+                    k = prefix_size(n)
                     few = s[rare][:k]
                     s = np.concatenate([few, s[~rare][: k - len(few)]])
                 out.append((n, cls, s.tobytes()))
@@ -122,23 +133,31 @@ def sets_table(docs: DataFrame, id_col: str, text: Column, width: int, frequent:
     return rows.mapInPandas(make, "doc_id long, n int, cls long, prefix binary")
 
 
+def columns(parts: list[tuple], names: tuple[str, ...]) -> pd.DataFrame:
+    """Arrays of each part, one after the other, as columns."""
+    return pd.DataFrame({name: np.concatenate([p[i] for p in parts]) for i, name in enumerate(names)})
+
+
 def meetings(sets: DataFrame) -> DataFrame:
     """(s, cls, n) of the prefix shingles that several different sets have."""
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
         for batch in batches:
-            s, cls, n = [], [], []
+            out, held = [], 0
             for c, size, prefix in zip(batch["cls"], batch["n"], batch["prefix"]):
                 if size == 0 or c in seen:
                     continue
                 if len(seen) < 100_000:
                     seen.add(c)
-                s.append(np.frombuffer(prefix, np.int64))
-                cls.append(np.full(len(s[-1]), c))
-                n.append(np.full(len(s[-1]), size, np.int32))
-            if s:
-                yield pd.DataFrame({"s": np.concatenate(s), "cls": np.concatenate(cls), "n": np.concatenate(n)})
+                s = np.frombuffer(prefix, np.int64)
+                out.append((s, np.full(len(s), c), np.full(len(s), size, np.int32)))
+                held += len(s)
+                if held >= ROWS_OUT:
+                    yield columns(out, ("s", "cls", "n"))
+                    out, held = [], 0
+            if out:
+                yield columns(out, ("s", "cls", "n"))
 
     def shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # Rows come in the order of (s, cls); one row waits to see its successor.
@@ -163,17 +182,58 @@ def meetings(sets: DataFrame) -> DataFrame:
 
 
 def supported(met: DataFrame) -> DataFrame:
-    """Meetings of the sets that share enough of their prefix to be near to any other set."""
+    """Meetings (s, cls, n, label, times) of sets that still meet others, of another label, often enough.
+
+    Two near sets that are neither compared nor in one component meet in all the prefix
+    shingles that they share. A meeting of one label is closed, and a set with fewer open
+    meetings than near sets share is near to nobody else. Shingles that the same sets meet
+    in are one meeting that counts ``times``.
+    """
 
-    @F.pandas_udf("int")
-    def least(n: pd.Series) -> pd.Series:
-        return pd.Series(least_shared(n.to_numpy(np.int64)))
+    often = met.groupBy("cls", "n").agg(F.sum("times").alias("often"))
+    often = materialize(often.filter(F.col("often") >= least_shared(F.col("n").cast("long"))).select("cls"), "jaccard-often")
+    left = met.join(sized(often), "cls", "left_semi")
+    members = F.struct(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("cls")), F.bit_xor(F.xxhash64("cls", F.lit(1))))
+    open_ = left.groupBy("s").agg(
+        F.min("label").alias("a"), F.max("label").alias("b"), members.alias("members"), F.max("times").alias("each")
+    )
+    once = open_.filter("a <> b").groupBy("members").agg(F.min("s").alias("s"), F.sum("each").alias("all_times"))
+    once = once.select("s", "all_times", F.col("members.size").alias("size"))
+    return materialize(
+        left.join(once, "s").select("s", "size", "cls", "n", "label", F.col("all_times").alias("times")), "jaccard-meetings"
+    )
 
-    enough = met.groupBy("cls", "n").agg(F.count(F.lit(1)).alias("shared"))
-    enough = materialize(enough.withColumn("least", least("n")).filter("shared >= least").select("cls"), "jaccard-enough")
-    left = materialize(met.join(sized(enough), "cls", "left_semi"), "jaccard-supported")
-    several = left.groupBy("s").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("s")
-    return materialize(left.join(several, "s", "left_semi"), "jaccard-meetings")
+
+def rare_meetings(met: DataFrame) -> DataFrame:
+    """Of each set, the smallest meetings by which it must meet any near set.
+
+    Two near sets have a bound's worth of meetings in common. In a common order of the
+    meetings, the smallest first, both have one of those among the meetings that come before the
+    last ``bound - 1``. Adds ``open`` (all meetings of the set), ``rest`` (those left out)
+    and ``unmet`` (shingles beyond its prefix).
+    """
+    order = W.partitionBy("cls").orderBy("size", "s")
+    n = F.col("n").cast("long")
+    rows = met.withColumn("upto", F.sum("times").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    rows = rows.withColumn("open", F.sum("times").over(W.partitionBy("cls")))
+    kept = rows.filter(F.col("upto") - F.col("times") <= F.col("open") - least_shared(n))
+    kept = kept.withColumn("rest", F.col("open") - F.max("upto").over(W.partitionBy("cls")))
+    return kept.withColumn("unmet", unmet(n)).drop("upto")
+
+
+def leaders(met: DataFrame, most: int) -> DataFrame:
+    """Sets (cls) that are among the first ``most`` of every meeting they are in, in a common order.
+
+    A meeting holds at most ``most`` of them, however many sets meet there.
+    """
+    place = F.xxhash64("cls").alias("place")
+    if most == 1:
+        first = met.groupBy("s").agg(F.min(F.struct(place, "cls")).alias("first"))
+        ranked = met.join(first, "s").select("cls", (F.col("first.cls") == F.col("cls")).alias("among"))
+    else:
+        order = W.partitionBy("s").orderBy(place, "cls")
+        ranked = met.select("cls", (F.row_number().over(order) <= most).alias("among"))
+    return ranked.groupBy("cls").agg(F.min("among").alias("always")).filter("always").select("cls")
 
 
 def distances(pairs: DataFrame, whole: DataFrame) -> DataFrame:
@@ -214,71 +274,81 @@ def distances(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     return dealt.mapInPandas(compare, "x long, p long, d double, near boolean")
 
 
+def pivots_in(turn: int) -> int:
+    """Pivots of a meeting in a round: 1, 1, 8, 64, then three times as many each time."""
+    return 1 if turn < 2 else 8 if turn == 2 else 64 * 3 ** (turn - 3)
+
+
 def links(met: DataFrame, whole: DataFrame) -> DataFrame:
     """Labels (node, label) of all sets that have links.
 
-    The sets that share a shingle are a meeting. In each round every meeting has a pivot, the
-    same one for meetings of the same sets as far as it is in them. A set belongs to the
-    region of the pivot that it shares most with, and is compared with that one first; other
-    pivots only matter while they are in other components. Compared pivots leave. A meeting goes
-    on with the rest until one component holds all of it. Pairs whose distances to a common
-    pivot differ by more than the threshold are too far from each other and are not compared.
+    The sets that share a shingle are a meeting. In a round, sets that come first in all their
+    meetings are pivots, ``pivots_in`` of them per meeting at most.
+    Only each set's rare meetings count, without which no near pair meets. A pivot is paired
+    with all that it meets there; pairs that share too few shingles in all are out. A set belongs to the region of the pivot that
+    it shares most with and is compared with that one first; other pivots matter only
+    while they are in other components. Pairs whose distances to a common pivot differ by
+    more than the threshold are too far apart by the triangle inequality. Compared pivots
+    leave, and the rest goes on in the meetings that hold several components.
     """
     spark = met.sparkSession
-    edges = spark.createDataFrame([], "u long, v long")
     labels = spark.createDataFrame([], "node long, label long")
-    far = 1 - PERCENT / 100 + 1e-9
-    met = met.withColumn("d", F.lit(None).cast("double"))
+    windows = spark.createDataFrame([], "node long, pivot long, d double")
+
     turn = 0
     while not met.isEmpty():
-        order = W.partitionBy("s").orderBy("cls")
-        if turn < 2:
-            heads = met.groupBy("s").agg(F.min(F.struct("cls", "n", "d")).alias("p"))
-            heads = heads.select("s", F.col("p.cls").alias("p"), F.col("p.n").alias("pn"), F.col("p.d").alias("pd"))
-        else:
-            heads = met.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= PIVOTS)
-            heads = heads.select("s", F.col("cls").alias("p"), F.col("n").alias("pn"), F.col("d").alias("pd"))
-        heads = materialize(heads, "jaccard-pivots")
-        fits = (100 * F.least("n", "pn") >= PERCENT * F.greatest("n", "pn")) & (
-            F.col("d").isNull() | F.col("pd").isNull() | (F.abs(F.col("d") - F.col("pd")) <= far)
+        rare = materialize(rare_meetings(met), "jaccard-rare")
+        pivots = materialize(leaders(rare, pivots_in(turn)), "jaccard-pivots")
+        heads = rare.join(sized(pivots), "cls", "left_semi").select(
+            "s", *[F.col(c).alias(f"p_{c}") for c in ("cls", "n", "label", "open", "rest", "unmet")]
+        )
+        needed = F.ceil(PERCENT * (F.col("n") + F.col("p_n")) / (100 + PERCENT)) - F.greatest("unmet", "p_unmet")
+        fits = (
+            (F.col("label") != F.col("p_label"))
+            & (100 * F.least("n", "p_n") >= PERCENT * F.greatest("n", "p_n"))
+            & (needed <= F.least("open", "p_open"))
+        )
+        stars = rare.join(heads, (rare["s"] == heads["s"]) & fits)
+        # A pair of two pivots comes up from both sides, with the same count.
+        pairs = stars.groupBy(F.col("cls").alias("x"), F.col("p_cls").alias("p")).agg(
+            F.sum("times").alias("c"), F.max(needed - F.least("rest", "p_rest")).alias("least")
         )
-        stars = met.join(heads, "s").filter(F.col("cls") != F.col("p")).filter(fits)
-        pairs = stars.groupBy(F.least("cls", "p").alias("p"), F.greatest("cls", "p").alias("x")).agg(F.count(F.lit(1)).alias("c"))
+        pairs = pairs.filter(F.col("c") >= F.col("least"))
+        known = pivots.select(F.col("cls").alias("x"), F.lit(True).alias("leads"))
+        pairs = pairs.join(sized(known), "x", "left").filter("leads is null or x > p").select("x", "p", "c")
         pairs = materialize(pairs, "jaccard-pairs")
-        best = pairs.groupBy("x").agg(F.max(F.struct("c", (-F.col("p")).alias("q"))).alias("b")).select("x", (-F.col("b.q")).alias("p"))
-        for step in ("region", "others"):
-            if step == "others":
-                pairs = _apart(pairs.join(best, ["x", "p"], "left_anti"), labels)
-            wanted = best if step == "region" else pairs.select("x", "p")
-            if step == "region":
-                wanted = _apart(wanted, labels)
-            found = materialize(distances(materialize(wanted, "jaccard-wanted"), whole), "jaccard-distances")
+        # Once little is left, comparing all at once takes less time than asking twice.
+        first = pairs.groupBy("x").agg(F.max(F.struct("c", "p")).alias("b")).select("x", F.col("b.p").alias("region"))
+        regions = pairs.join(first, "x")
+        steps = ("p = region", "p <> region") if turn < 2 else ("true",)
+        for step in steps:
+            wanted = materialize(_apart(regions.filter(step).select("x", "p"), labels, windows), "jaccard-wanted")
+            if wanted.isEmpty():
+                continue
+            found = materialize(distances(wanted, whole), "jaccard-distances")
             near = found.filter("near").select(F.col("x").alias("u"), F.col("p").alias("v"))
             if not near.isEmpty():
-                edges = materialize(edges.unionByName(near), "jaccard-links")
-                labels = components(edges)
-            known = found if step == "region" else known.unionByName(found)
-        if turn == 0:
-            # The only pivot of a meeting so far: its distances are the windows of the next rounds.
-            known = known.select(F.col("x").alias("cls"), "p", F.col("d").alias("known"))
-            met = met.join(heads.select("s", "p"), "s").join(known, ["cls", "p"], "left")
-            met = met.filter(F.col("cls") != F.col("p")).select("s", "cls", "n", F.coalesce("d", "known").alias("d"))
-        else:
-            met = met.join(heads.select("s", F.col("p").alias("cls")), ["s", "cls"], "left_anti")
-        named = met.join(labels, met["cls"] == labels["node"], "left").select("s", "cls", "n", "d", F.coalesce("label", "cls").alias("label"))
-        named = materialize(named, "jaccard-named")
-        open_ = named.groupBy("s").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b").select("s")
-        met = materialize(named.join(open_, "s", "left_semi").drop("label"), "jaccard-meetings")
+                labels = components(near.unionByName(labels.select(F.col("node").alias("u"), F.col("label").alias("v"))))
+            if turn == 0:
+                windows = windows.unionByName(found.select(F.col("x").alias("node"), F.col("p").alias("pivot"), "d"))
+        rest = met.join(sized(pivots), "cls", "left_anti").drop("label")
+        rest = rest.join(sized(labels), rest["cls"] == labels["node"], "left")
+        met = supported(rest.select("s", "cls", "n", F.coalesce("label", "cls").alias("label"), "times"))
         turn += 1
     return labels
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs (x, p) that are not in one component yet."""
+def _apart(pairs: DataFrame, labels: DataFrame, windows: DataFrame) -> DataFrame:
+    """Pairs (x, p) that are not in one component yet and may be near, judged by common pivots."""
     a = labels.select(F.col("node").alias("x"), F.col("label").alias("lx"))
     b = labels.select(F.col("node").alias("p"), F.col("label").alias("lp"))
-    joined = pairs.join(a, "x", "left").join(b, "p", "left")
-    return joined.filter(F.coalesce("lx", "x") != F.coalesce("lp", "p")).select("x", "p")
+    joined = pairs.join(sized(a), "x", "left").join(sized(b), "p", "left")
+    open_ = joined.filter(F.coalesce("lx", "x") != F.coalesce("lp", "p")).select("x", "p")
+    dx = windows.select(F.col("node").alias("x"), "pivot", F.col("d").alias("dx"))
+    dp = windows.select(F.col("node").alias("p"), "pivot", F.col("d").alias("dp"))
+    gap = F.abs(F.col("dx") - F.col("dp")) > 1 - PERCENT / 100 + 1e-9
+    ruled_out = open_.join(dx, "x").join(dp, ["p", "pivot"]).filter(gap).select("x", "p")
+    return open_.join(ruled_out, ["x", "p"], "left_anti")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
@@ -294,7 +364,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
     frequent = frequent_shingles(docs, text, width)
     sets = materialize(sets_table(docs, id_col, text, width, frequent), "jaccard-sets")
-    met = supported(materialize(meetings(sets), "jaccard-met"))
+    met = supported(materialize(meetings(sets), "jaccard-met").withColumns({"label": F.col("cls"), "times": F.lit(1).cast("long")}))
     alive = materialize(met.select("cls").distinct(), "jaccard-alive")
     one = sets.join(sized(alive), "cls", "left_semi").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
     whole = materialize(whole_sets(docs, id_col, text, width, materialize(one, "jaccard-one")), "jaccard-whole")

@@ -379,8 +379,8 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = 200, m
         ranges = shared_ranges(parts, length)
     else:
         parts = materialize(parts, "repeat-parts")
-        ranges = shared_ranges(parts.join(F.broadcast(crowded), "mark", "left_anti"), length).unionByName(
-            counted_ranges(parts.join(F.broadcast(crowded), "mark", "left_semi"), length)
+        ranges = shared_ranges(parts.join(sized(crowded), "mark", "left_anti"), length).unionByName(
+            counted_ranges(parts.join(sized(crowded), "mark", "left_semi"), length)
         )
     whole = pieces.filter("n > 1").select("mark", "piece", F.lit(0).alias("lo"), F.col("windows").alias("hi"))
     spans = (

@@ -80,9 +80,10 @@ def test_jaccard_join_links_through_chains(spark):
     assert Counter(map(tuple, jaccard_join.near_duplicates(data.frame(spark, rows)).collect())) == want
 
 
-def test_least_shared_is_a_lower_bound():
+def test_bounds_on_shared_prefix_shingles(spark):
     rng = np.random.default_rng(1)
-    for _ in range(300):
+    rows = []
+    for _ in range(600):
         n = int(rng.integers(1, 60))
         universe = rng.permutation(400)
         a = set(universe[:n].tolist())
@@ -90,12 +91,15 @@ def test_least_shared_is_a_lower_bound():
         for x in list(b)[: int(rng.integers(0, n // 4 + 1))]:
             b.discard(x)
         b |= set(universe[n : n + int(rng.integers(0, n // 4 + 1))].tolist())
-        if 100 * len(a & b) < 75 * len(a | b):
-            continue
-        sizes = np.array([len(a), len(b)])
-        pa, pb = jaccard_join.prefix_size(sizes)
-        shared = len(set(sorted(a)[:pa]) & set(sorted(b)[:pb]))
-        assert (shared >= jaccard_join.least_shared(sizes)).all()
+        if 100 * len(a & b) >= 75 * len(a | b):
+            pa, pb = jaccard_join.prefix_size(len(a)), jaccard_join.prefix_size(len(b))
+            rows.append((len(a), len(b), len(set(sorted(a)[:pa]) & set(sorted(b)[:pb])), len(a) - pa))
+    df = spark.createDataFrame(rows, "n long, m long, shared long, unmet long")
+    n, m = F.col("n"), F.col("m")
+    bounds = [jaccard_join.pair_shared(n, m), jaccard_join.pair_shared(m, n), jaccard_join.least_shared(n), jaccard_join.least_shared(m)]
+    assert len(rows) > 300
+    assert df.filter(F.greatest(*bounds) > F.col("shared")).count() == 0
+    assert df.filter(jaccard_join.unmet(n) != F.col("unmet")).count() == 0
 
 
 def test_keep_representatives(spark):
