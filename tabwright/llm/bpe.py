@@ -8,6 +8,7 @@ import json
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import ClassVar
 
 import pandas as pd
 import regex
@@ -67,10 +68,24 @@ class WordSplitter:
 
 
 class Remembered(dict):
-    """A bounded memo of ``make``: a full generation replaces the older one, which still serves."""
+    """A bounded memo of ``make``: a full generation replaces the older one, which still serves.
 
-    def __init__(self, make):
+    Workers live on from job to job; ``forget_others`` gives back what the memos of other
+    operators hold there.
+    """
+
+    memos: ClassVar[list[tuple[str, Remembered]]] = []
+
+    def __init__(self, make, owner: str):
         self.make, self.older = make, {}
+        self.memos.append((owner, self))
+
+    @classmethod
+    def forget_others(cls, owner: str) -> None:
+        for other, memo in cls.memos:
+            if other != owner:
+                memo.clear()
+                memo.older = {}
 
     def __missing__(self, key: str):
         found = self.older.get(key)
@@ -109,7 +124,7 @@ class Encoder:
         self.inner = [vocab[c] for c in letters]
         self.last = [vocab[c + self.suffix] for c in letters]
         self.split = WordSplitter(list(self.special))
-        self.words, self.chunks = Remembered(self.word), Remembered(self.chunk)
+        self.words, self.chunks = Remembered(self.word, "bpe"), Remembered(self.chunk, "bpe")
 
     def ids(self, word: str) -> list[int]:
         raw = word.encode("utf-8", "replace")
@@ -186,6 +201,7 @@ def bpe(text: Column, path: str) -> Column:
     @F.pandas_udf("ids array<int>, decoded string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         enc = encoder(path)
+        Remembered.forget_others("bpe")
         for batch in batches:
             pairs = [enc.encode(t or "") for t in batch]
             yield pd.DataFrame({"ids": [list(map(int, a.split())) for a, _ in pairs], "decoded": [b for _, b in pairs]})
@@ -202,6 +218,7 @@ def bpe_digest(text: Column, path: str) -> Column:
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         enc = encoder(path)
+        Remembered.forget_others("bpe")
         for batch in batches:
             out = []
             for t in batch:

@@ -39,7 +39,7 @@ _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165
 
 @lru_cache(maxsize=1)
 def word_hashes() -> Remembered:
-    return Remembered(xxhash.xxh3_64_intdigest)
+    return Remembered(xxhash.xxh3_64_intdigest, "words")
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -98,6 +98,7 @@ def frequent_shingles(docs: DataFrame, text: Column, width: int) -> np.ndarray:
     drawn = docs.select(text.alias("data")).filter(F.pmod(F.xxhash64("data"), F.lit(scale)) < int(share * scale))
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        Remembered.forget_others("words")
         for batch in batches:
             found = [shingles(data, width).view(np.int64) for data in batch["data"]]
             if found:
@@ -112,6 +113,7 @@ def sets_table(docs: DataFrame, id_col: str, text: Column, width: int, frequent:
     """doc_id, n, cls and the prefix of every document; equal sets have equal ``cls``."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        Remembered.forget_others("words")
         for batch in batches:
             ids, out = batch["doc_id"], []
             for data in batch["data"]:
@@ -393,6 +395,7 @@ def whole_sets(docs: DataFrame, id_col: str, text: Column, width: int, wanted: D
     """cls and all shingles of the wanted classes (cls, doc_id), one row each."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        Remembered.forget_others("words")
         for batch in batches:
             out = []
             for cls, data in zip(batch["cls"], batch["data"]):

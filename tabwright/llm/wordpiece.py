@@ -90,7 +90,7 @@ class Counter:
             entries.append((*symbols[:-1], symbols[-1] + 256 * ended))
         self.automaton = Automaton(entries)
         self.split = WordSplitter([t["content"] for t in spec["added_tokens"]])
-        self.chunks = Remembered(self.chunk)
+        self.chunks = Remembered(self.chunk, "pieces")
 
     @staticmethod
     def symbols(word: str) -> list[int]:
@@ -133,6 +133,7 @@ def count_tokens(docs: DataFrame, path: str | None = None, id_col: str = "doc_id
     @F.pandas_udf("n_words long, n_tokens long")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         count = counter(path).of_text
+        Remembered.forget_others("pieces")
         for batch in batches:
             yield pd.DataFrame([count(t or "") for t in batch], columns=["n_words", "n_tokens"])
 

@@ -50,10 +50,14 @@ def test_bpe_returns_ids_and_text(spark, library):
 
 def test_memo_is_bounded_and_right(monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 3)
-    memo = bpe.Remembered(len)
+    memo = bpe.Remembered(len, "test")
     for word in ["a", "bb", "ccc", "dddd", "a", "eeeee", "bb"] * 3:
         assert memo[word] == len(word)
         assert len(memo) <= 3 and len(memo.older) <= 3
+    bpe.Remembered.forget_others("test")
+    assert len(memo) and memo.older
+    bpe.Remembered.forget_others("another")
+    assert not memo and not memo.older
 
 
 def greedy(symbols, entries):
