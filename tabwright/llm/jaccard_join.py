@@ -211,8 +211,8 @@ def rare_meetings(met: DataFrame) -> DataFrame:
 
     Two near sets have a bound's worth of meetings in common. In a common order of the
     meetings, the smallest first, both have one of those among the meetings that come before the
-    last ``bound - 1``. Adds ``open`` (all meetings of the set), ``rest`` (those left out)
-    and ``unmet`` (shingles beyond its prefix).
+    last ``bound - 1``. Adds ``open`` (all meetings of the set), ``rest`` (those left out),
+    ``cut`` (the last meeting kept, in that order) and ``unmet`` (shingles beyond its prefix).
     """
     order = W.partitionBy("cls").orderBy("size", "s")
     n = F.col("n").cast("long")
@@ -220,6 +220,7 @@ def rare_meetings(met: DataFrame) -> DataFrame:
     rows = rows.withColumn("open", F.sum("times").over(W.partitionBy("cls")))
     kept = rows.filter(F.col("upto") - F.col("times") <= F.col("open") - least_shared(n))
     kept = kept.withColumn("rest", F.col("open") - F.max("upto").over(W.partitionBy("cls")))
+    kept = kept.withColumn("cut", F.max(F.struct("size", "s")).over(W.partitionBy("cls")))
     return kept.withColumn("unmet", unmet(n)).drop("upto")
 
 
@@ -302,7 +303,7 @@ def links(met: DataFrame, whole: DataFrame) -> DataFrame:
         rare = materialize(rare_meetings(met), "jaccard-rare")
         pivots = materialize(leaders(rare, pivots_in(turn)), "jaccard-pivots")
         heads = rare.join(sized(pivots), "cls", "left_semi").select(
-            "s", *[F.col(c).alias(f"p_{c}") for c in ("cls", "n", "label", "open", "rest", "unmet")]
+            "s", *[F.col(c).alias(f"p_{c}") for c in ("cls", "n", "label", "open", "rest", "cut", "unmet")]
         )
         needed = F.ceil(PERCENT * (F.col("n") + F.col("p_n")) / (100 + PERCENT)) - F.greatest("unmet", "p_unmet")
         fits = (
@@ -310,10 +311,13 @@ def links(met: DataFrame, whole: DataFrame) -> DataFrame:
             & (100 * F.least("n", "p_n") >= PERCENT * F.greatest("n", "p_n"))
             & (needed <= F.least("open", "p_open"))
         )
+        # Common meetings up to the earlier cut are kept by both; those beyond it are all left out by
+        # the set whose cut that is, whichever of the two leaves out more.
+        beyond = F.when(F.col("cut") <= F.col("p_cut"), F.col("rest")).otherwise(F.col("p_rest"))
         stars = rare.join(heads, (rare["s"] == heads["s"]) & fits)
         # A pair of two pivots comes up from both sides, with the same count.
         pairs = stars.groupBy(F.col("cls").alias("x"), F.col("p_cls").alias("p")).agg(
-            F.sum("times").alias("c"), F.max(needed - F.least("rest", "p_rest")).alias("least")
+            F.sum("times").alias("c"), F.max(needed - beyond).alias("least")
         )
         pairs = pairs.filter(F.col("c") >= F.col("least"))
         known = pivots.select(F.col("cls").alias("x"), F.lit(True).alias("leads"))

@@ -80,6 +80,21 @@ def test_jaccard_join_links_through_chains(spark):
     assert Counter(map(tuple, jaccard_join.near_duplicates(data.frame(spark, rows)).collect())) == want
 
 
+def test_jaccard_join_links_copies_with_appended_text_in_a_half_similar_family(spark):
+    """Copies just above the threshold, in a family whose members are not near but share most shingles with several others."""
+    rng = np.random.default_rng(0)
+    blocks, rows = [data.prose(100_000 + i, 10) for i in range(30)], []
+    for i in range(60):
+        mine = np.sort(rng.permutation(30)[:20])
+        rows.append((i, " ".join(w for k in mine for w in blocks[k]), None, None, None))
+    for i in range(30):
+        more = data.prose(200_000 + i, int(196 * (0.28 + 0.04 * rng.random())))
+        rows.append((1000 + i, " ".join([rows[i][1], *more]), None, None, None))
+    want = _near(rows)
+    assert len({c for _, _, c in want}) == 60
+    assert Counter(map(tuple, jaccard_join.near_duplicates(data.frame(spark, rows)).collect())) == want
+
+
 def test_bounds_on_shared_prefix_shingles(spark):
     rng = np.random.default_rng(1)
     rows = []
