@@ -30,19 +30,28 @@ LETTERS = {
 # Names of secrets before an assigned value.
 _SECRET = r"(?i:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|private[_-]?key|auth)"
 
+# Seven to fifteen digits in any groups after an international prefix.
+_ABROAD = r"(?<![0-9A-Za-z])(?:\+|00(?=[1-9])) ?\(?[0-9](?:[ .\-/()\u00a0\u202f\u2011\u2013]{0,3}[0-9]){6,14}"
+
 PATTERNS = [
     ("email", re.compile(r"[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}"), "@"),
     ("secret", re.compile(_SECRET + r"""["']?\s*[=:]\s*["']?(?P<value>[A-Za-z0-9+/_\-.~]{8,})"""), "=:"),
     ("secret", re.compile(r"(?<![0-9A-Za-z])(?P<value>(?=[0-9a-f]*[0-9])(?=[0-9a-f]*[a-f])[0-9a-f]{32,128})(?![0-9A-Za-z])"), "0"),
     ("iban", re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])"), "0"),
     ("ip", re.compile(r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])"), "0"),
+    # Ahead of the patterns of digits only, unless more digits follow.
+    ("phone", re.compile(_ABROAD + r"(?![ -]?[0-9])"), "0"),
     ("ssn", re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"), "0"),
     ("card", re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"), "0"),
+    ("phone", re.compile(_ABROAD + r"(?![0-9])"), "0"),
+    # An area code in brackets or with its leading zero, then any groups.
+    ("phone", re.compile(r"(?<![0-9A-Za-z])(?:\(0[0-9]{1,5}\)[ .-]?[0-9](?:[ .\-/]?[0-9]){3,9}|\([1-9][0-9]{1,4}\)[ .-]?[0-9](?:[ .\-/]?[0-9]){6,9})(?![0-9])"), "0"),
+    ("phone", re.compile(r"(?<![0-9A-Za-z.,/-])0[1-9][0-9]{0,4}(?:[ /.-]| / | - )?[0-9]{3,10}(?:[ .-][0-9]{2,4}){0,3}(?![0-9])"), "0"),
     ("phone", re.compile(r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,4}(?![0-9])"), "0"),
 ]
 _TITLE = "|".join(sorted(TITLES, key=len, reverse=True))
 _NAME = r"[A-ZÀ-ÖØ-ÞΑ-ΩА-Я][A-Za-zÀ-ÖØ-öø-ÿά-ώΑ-Ωа-яА-Я'’-]+"
-NAMES = re.compile(rf"(?<!\w)(?P<title>{_TITLE})\.? (?P<names>{_NAME}(?: {_NAME}){{0,2}})")
+NAMES = re.compile(rf"(?<!\w)(?P<title>{_TITLE})\.? (?P<names>{_NAME}(?: {_NAME})*)")
 _DIGIT = re.compile("[0-9]")
 
 
@@ -63,6 +72,16 @@ def script_of(text: str) -> str:
     return "latin"
 
 
+def hidden(text: str, found: list[Mention]) -> str:
+    """The text without what was found, so that numbers don't reach into it; places stay."""
+    out, at = [], 0
+    for a, b in sorted((m.start, m.end) for m in found):
+        if b > at:
+            out += [text[at:a], "\0" * (b - max(a, at))]
+            at = b
+    return "".join(out) + text[at:]
+
+
 def mentions(text: str) -> list[Mention]:
     """Entities of a text in order, without overlaps; earlier patterns go first.
 
@@ -74,8 +93,8 @@ def mentions(text: str) -> list[Mention]:
     for kind, pattern, needs in PATTERNS:
         if not signs[needs]:
             continue
-        for m in pattern.finditer(text):
-            if kind == "phone" and not 9 <= sum(map(str.isdigit, m.group())) <= 15:
+        for m in pattern.finditer(hidden(text, found) if kind in ("card", "phone") else text):
+            if kind == "phone" and not (7 if m.group()[0] in "+(0" else 9) <= sum(map(str.isdigit, m.group())) <= (17 if m.group().startswith("00") else 15):
                 continue
             group = "value" if "value" in pattern.groupindex else 0
             found.append(Mention(m.start(group), m.end(group), kind, m.group(group)))

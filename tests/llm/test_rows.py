@@ -184,6 +184,33 @@ def test_surrogates_keep_type_format_gender_and_coreference(spark):
     assert {r.text for r in other if r.doc_id == 1} != {one.text}
 
 
+PHONES = [
+    "+14155552671", "+1 4155552671", "+1 (555) 123-4567", "+1-415-555-2671", "+1.415.555.2671", "01234 567890", "(030) 1234567",
+    "+49 30 1234567", "+49 170 1234567", "+49 (0)30 1234567", "+49 123-45-6789", "+33 1 23 45 67 89", "01 23 45 67 89", "0612345678",
+    "+44 20 7946 0958", "020 7946 0958", "030/1234567", "0171-1234567", "0049 30 1234567", "+7 495 123-45-67", "+30 210 1234567",
+    "+34 612 345 678", "+39 06 1234 5678", "+86 138 0013 8000", "+81 3-1234-5678", "+298 123456", "(415) 555-2671", "415-555-2671",
+    "+49 1512 3456789",
+]
+
+
+@pytest.mark.parametrize("phone", PHONES)
+def test_phone_numbers_in_national_formats(phone):
+    found = surrogates.mentions(f"Tel. {phone}, 10.2.3.4")
+    assert [(m.kind, m.value) for m in found] == [("phone", phone), ("ip", "10.2.3.4")]
+    assert [m.kind for m in surrogates.mentions(f"{phone} 10.2.3.4")] == ["phone", "ip"]
+
+
+def test_what_is_no_phone_number():
+    text = "On 01/02/2024 12:30, 2024-12-31, version 1.2.3, 0.123456789, 1234567, x+1234567890, pages 10-20"
+    assert surrogates.mentions(text) == []
+    assert [(m.kind, m.value) for m in surrogates.mentions("+4532 0151 1283 0366")] == [("card", "4532 0151 1283 0366")]
+
+
+def test_all_parts_of_a_name_are_found():
+    found = surrogates.mentions("Señora Maria Lopez Garcia Perez Ruiz met Dr Ann Lee.")
+    assert [m.value for m in found] == ["Maria", "Lopez", "Garcia", "Perez", "Ruiz", "Ann", "Lee"]
+
+
 def test_surrogates_stay_distinct_where_a_format_has_few_values(spark):
     letters = "abcdefghijklmnopqrstuvwxyz"
     rows = [(i, f"{letters[i % 26]}@b.com and {letters[(i + 1) % 26]}@b.com", None, None, None) for i in range(60)]
