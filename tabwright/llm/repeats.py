@@ -23,8 +23,11 @@ _ODD = 0xD1342543DE82EF95
 SLICE = 1 << 20
 # Bytes that are sorted together.
 CHUNK = 1 << 19
-# Pieces of one minimizer that one task sorts; beyond it their windows are counted by hash.
+# Pieces of one minimizer that one task sorts, and their bytes; beyond either their windows are counted by hash.
 MOST_PIECES = 20_000
+MOST_BYTES = 1 << 22
+# Texts that a task remembers to have cut, so that their copies give nothing.
+REMEMBERED = 200_000
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -241,12 +244,21 @@ def runs_table(texts: DataFrame, length: int, mark: int) -> DataFrame:
 
 
 def pieces_table(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """(mark, piece, bytes) of the wanted places; a place whose bytes have another hash is left out."""
+    """(mark, piece, bytes) of the wanted places; a place whose bytes have another hash is left out.
+
+    A task cuts a text once, however many copies it reads.
+    """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[tuple[int, bytes]] = set()
         for batch in batches:
             out = []
-            for data, places in zip(batch["data"], batch["places"]):
+            for th, data, places in zip(batch["th"], batch["data"], batch["places"]):
+                known = th, xxhash.xxh3_128_digest(data)
+                if known in seen:
+                    continue
+                if len(seen) < REMEMBERED:
+                    seen.add(known)
                 for p in places:
                     part = data[p["start"] : p["start"] + p["windows"] + length - 1]
                     if content(part) == p["piece"]:
@@ -256,7 +268,8 @@ def pieces_table(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                     out = []
             yield pd.DataFrame(out, columns=["mark", "piece", "part"])
 
-    return texts.join(wanted, ["th", "size"]).select("data", "places").mapInPandas(cut, "mark long, piece long, part binary")
+    rows = texts.join(wanted, ["th", "size"]).select("th", "data", "places")
+    return rows.mapInPandas(cut, "mark long, piece long, part binary")
 
 
 def ranges_of(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -272,7 +285,7 @@ def shared_ranges(pieces: DataFrame, length: int) -> DataFrame:
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple] = []
-        size = 0
+        size, last = 0, None
 
         def flush() -> pd.DataFrame:
             out = []
@@ -282,6 +295,10 @@ def shared_ranges(pieces: DataFrame, length: int) -> DataFrame:
 
         for batch in batches:
             for row in zip(batch["mark"], batch["piece"], batch["part"]):
+                # Copies of a piece come from several tasks.
+                if row == last:
+                    continue
+                last = row
                 # Pieces of a minimizer stay together.
                 if size >= CHUNK and held[-1][0] != row[0]:
                     yield flush()
@@ -291,7 +308,7 @@ def shared_ranges(pieces: DataFrame, length: int) -> DataFrame:
         if held:
             yield flush()
 
-    return pieces.repartition("mark").sortWithinPartitions("mark").mapInPandas(search, RANGES)
+    return pieces.repartition("mark").sortWithinPartitions("mark", "piece").mapInPandas(search, RANGES)
 
 
 def counted_ranges(pieces: DataFrame, length: int) -> DataFrame:
@@ -336,7 +353,7 @@ def text_key(text: Column) -> list[Column]:
     return [F.xxhash64(data).alias("th"), F.octet_length(data).alias("size"), data.alias("data")]
 
 
-def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = 200, mark: int = MARK, most_pieces: int = MOST_PIECES) -> DataFrame:
+def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = 200, mark: int = MARK, most_pieces: int = MOST_PIECES, most_bytes: int = MOST_BYTES) -> DataFrame:
     """(th, size, spans) of texts with bytes covered by a string of ``length`` bytes that also starts elsewhere.
 
     Texts are named by a hash and their size; equal texts have equal spans, and each of
@@ -371,16 +388,16 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = 200, m
         "repeat-wanted",
     )
     parts = pieces_table(texts, sized(wanted, "places"), length)
-    crowded = materialize(
-        pieces.filter("several").groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most_pieces).select("mark"),
-        "repeat-crowded",
+    load = pieces.filter("several").groupBy("mark").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("windows").cast("long") + (length - 1)).alias("bytes")
     )
+    crowded = materialize(load.filter((F.col("n") > most_pieces) | (F.col("bytes") > most_bytes)).select("mark"), "repeat-crowded")
     if crowded.isEmpty():
         ranges = shared_ranges(parts, length)
     else:
         parts = materialize(parts, "repeat-parts")
         ranges = shared_ranges(parts.join(sized(crowded), "mark", "left_anti"), length).unionByName(
-            counted_ranges(parts.join(sized(crowded), "mark", "left_semi"), length)
+            counted_ranges(parts.join(sized(crowded), "mark", "left_semi").distinct(), length)
         )
     whole = pieces.filter("n > 1").select("mark", "piece", F.lit(0).alias("lo"), F.col("windows").alias("hi"))
     spans = (

@@ -153,6 +153,18 @@ def test_repeats_are_removed_exactly(spark, length, most):
     assert Counter((*r[:5], bytes(r[5])) for r in got.collect()) == _spans(rows, length)
 
 
+def test_pieces_of_copies_are_cut_once(spark):
+    text = " ".join(data.prose(1, 200))
+    rows = [(i, text, None, None, None) for i in range(300)] + [(300, text[:500] + "changed" + text[500:], None, None, None)]
+    texts = data.frame(spark, rows).select(*repeats.text_key(F.col("text"))).coalesce(1)
+    found = repeats.runs_table(texts, 200, 64).distinct()
+    wanted = found.groupBy("th", "size").agg(F.collect_list(F.struct("mark", "piece", "start", "windows")).alias("places"))
+    cut = repeats.pieces_table(texts, F.broadcast(wanted), 200)
+    assert cut.count() == found.count()
+    got = repeats.remove_repeats(data.frame(spark, rows), most_bytes=1)
+    assert Counter((*r[:5], bytes(r[5])) for r in got.collect()) == _spans(rows, 200)
+
+
 def test_transform_finds_the_repeated_windows():
     rng = np.random.default_rng(5)
     for _ in range(60):
