@@ -1,4 +1,4 @@
-"""Exact n-gram Jaccard join: pivots, triangle-inequality windows and recursion on what is left."""
+"""Exact n-gram Jaccard join: a prefix filter on shared shingles, and pivots in rounds on what is left."""
 
 from __future__ import annotations
 
