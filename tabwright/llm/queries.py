@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.llm import bpe, exact_dedup, jaccard_join, language, mixing, passages, repeats, surrogates, vector_search, wordpiece
+from tabwright.llm import (
+    bpe,
+    exact_dedup,
+    filter_audit,
+    jaccard_join,
+    language,
+    mixing,
+    passages,
+    repeats,
+    surrogates,
+    vector_search,
+    wordpiece,
+)
 from tabwright.llm.common import read_table
 
 
@@ -53,6 +65,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return filter_audit.audit(filter_audit.failures(docs, labels))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -66,6 +83,12 @@ QUERIES = {
         op8_language_id,
         op9_repeated_bytes,
         op10_bpe,
+        op12_filter_audit,
     )
 }
-SQL = {"op3_mix_sources": mixing.SQL, "op4_exact_dedup": exact_dedup.SQL, "op5_vector_top_k": vector_search.SQL}
+SQL = {
+    "op3_mix_sources": mixing.SQL,
+    "op4_exact_dedup": exact_dedup.SQL,
+    "op5_vector_top_k": vector_search.SQL,
+    "op12_filter_audit": filter_audit.SQL,
+}
