@@ -13,6 +13,7 @@ from tabwright.llm import (
     mixing,
     passages,
     repeats,
+    resampling,
     surrogates,
     vector_search,
     wordpiece,
@@ -65,6 +66,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     return filter_audit.audit(filter_audit.failures(docs, labels))
@@ -83,6 +88,7 @@ QUERIES = {
         op8_language_id,
         op9_repeated_bytes,
         op10_bpe,
+        op11_importance_resampling,
         op12_filter_audit,
     )
 }
@@ -90,5 +96,6 @@ SQL = {
     "op3_mix_sources": mixing.SQL,
     "op4_exact_dedup": exact_dedup.SQL,
     "op5_vector_top_k": vector_search.SQL,
+    "op11_importance_resampling": resampling.SQL,
     "op12_filter_audit": filter_audit.SQL,
 }
