@@ -82,3 +82,28 @@ def running_total(df: DataFrame, group: list[str], bucket: str, order: list[Colu
         .withColumn(out, F.col("_ahead") + F.col("_within"))
         .drop("_ahead", "_within")
     )
+
+
+# Most bytes of a table that is broadcast whatever its rows hold.
+BROADCAST_BYTES = 32 << 20
+# A key with this share of the rows or more counts as hot: at most 10,000 keys are.
+HOT_SHARE = 10_000
+
+
+def bounded(df: DataFrame, size: Column) -> DataFrame:
+    """``df`` with a broadcast hint if the sum of ``size``, a row's bytes, shows that it is small."""
+    total = df.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(df) if total <= BROADCAST_BYTES else df
+
+
+def join_spread(rows: DataFrame, table: DataFrame, keys: list[str], n: str) -> DataFrame:
+    """Inner join of stored ``rows`` with a stored ``table`` that has one row per key.
+
+    ``n`` is the number of rows of a key. Rows of a hot key, at most one per ``HOT_SHARE`` of
+    all and so at most ``HOT_SHARE`` keys, meet their narrow table row by a broadcast; the others are shuffled.
+    """
+    least = max(1, rows.count() // HOT_SHARE)
+    hot = table.filter(F.col(n) > least)
+    cold = table.filter(F.col(n) <= least)
+    named = hot.select(*keys)
+    return rows.join(F.broadcast(hot), keys).unionByName(rows.join(F.broadcast(named), keys, "left_anti").join(cold, keys))

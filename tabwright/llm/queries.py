@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tabwright.llm import (
+    arc_to_warc,
     bpe,
     exact_dedup,
     filter_audit,
@@ -75,6 +76,10 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(filter_audit.failures(docs, labels))
 
 
+def op13_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arc_to_warc.through_archives(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -90,6 +95,7 @@ QUERIES = {
         op10_bpe,
         op11_importance_resampling,
         op12_filter_audit,
+        op13_arc_to_warc,
     )
 }
 SQL = {
@@ -98,4 +104,5 @@ SQL = {
     "op5_vector_top_k": vector_search.SQL,
     "op11_importance_resampling": resampling.SQL,
     "op12_filter_audit": filter_audit.SQL,
+    "op13_arc_to_warc": arc_to_warc.SQL,
 }
