@@ -11,6 +11,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -120,10 +121,11 @@ def warc_date(date: str) -> str | None:
     """``YYYY[MM[DD[hh[mm[ss]]]]]`` as a WARC date; more digits are fractions of a second. None if there is no such time."""
     whole = date[:14]
     whole += "00000101000000"[len(whole) :] if len(whole) >= 4 else ""
-    stamp = pd.to_datetime(whole, format="%Y%m%d%H%M%S", errors="coerce") if len(whole) == 14 else pd.NaT
-    if pd.isna(stamp):
+    try:
+        stamp = datetime(int(whole[:4]), *(int(whole[i : i + 2]) for i in range(4, 14, 2)))
+    except (ValueError, TypeError):
         return None
-    return stamp.strftime("%Y-%m-%dT%H:%M:%S") + (f".{date[14:]}" if len(date) > 14 else "") + "Z"
+    return stamp.isoformat() + (f".{date[14:]}" if len(date) > 14 else "") + "Z"
 
 
 def labelled(digest: bytes) -> str:
@@ -419,7 +421,7 @@ def fetched(page: tuple) -> tuple[bytes, bytes, bytes]:
     payload = (html or "").encode("utf-8", "surrogatepass")
     own = b"" if number is None else b"X-Page-Id: %d\r\n" % number
     head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n%s\r\n" % (len(payload), own)
-    day = (pd.Timestamp("2005-01-01") + pd.Timedelta(seconds=(number or 0) % 10**8)).strftime("%Y%m%d%H%M%S").encode()
+    day = (datetime(2005, 1, 1) + timedelta(seconds=(number or 0) % 10**8)).strftime("%Y%m%d%H%M%S").encode()
     return address, day, head + payload
 
 
