@@ -164,18 +164,35 @@ def archives(spark: SparkSession, path: str) -> DataFrame:
 
 @dataclass
 class Converted:
-    """What an ARC record becomes."""
+    """What an ARC record becomes. The WARC record itself is made when it is asked for."""
 
+    source: ArcRecord
     record_id: str
     kind: str
-    uri: str
     date: str
     key: int | None
     head: bytes
     payload: bytes
     sha1: bytes
-    headers: list[tuple[str, str | None]]
-    block: bytes
+    info_id: str
+
+    def record(self) -> bytes:
+        r = self.source
+        headers: list[tuple[str, str | None]] = [("WARC-Type", self.kind), ("WARC-Record-ID", self.record_id), ("WARC-Date", self.date)]
+        if r.opens:
+            block = f"format: WARC File Format 1.1\r\ndescription: from ARC version {r.version}\r\n".encode()
+            return warc_record([*headers, ("WARC-Filename", r.archive), ("Content-Type", "application/warc-fields")], block)
+        mime = "text/dns" if r.uri.startswith("dns:") else r.mime or "application/octet-stream"
+        more = [
+            ("WARC-Target-URI", r.uri),
+            ("WARC-IP-Address", r.ip if r.ip not in ("-", "0.0.0.0") else None),
+            ("WARC-Warcinfo-ID", self.info_id or None),
+            ("WARC-Block-Digest", labelled(hashlib.sha1(r.body).digest() if self.head else self.sha1)),
+            ("WARC-Payload-Digest", labelled(self.sha1)),
+            ("WARC-Truncated", r.flaw and "unspecified"),
+            ("Content-Type", "application/http; msgtype=response" if self.head else mime),
+        ]
+        return warc_record([*headers, *more], r.body)
 
 
 def header_value(head: bytes, name: str) -> str | None:
@@ -189,28 +206,12 @@ def whole_number(text: str | None) -> int | None:
 
 def convert_record(r: ArcRecord, info: tuple[str, str | None], key_header: str) -> Converted:
     """The WARC equivalent of a record; ``info`` is the archive's identifier and its own date."""
-    head, payload = r.parts
+    head, payload = (b"", b"") if r.opens else r.parts
     sha1 = hashlib.sha1(payload).digest()
-    block = hashlib.sha1(r.body).digest() if head else sha1
+    record_id = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{r.archive}#{r.at} {r.uri} {r.date} {sha1.hex()}')}>"
+    kind = "warcinfo" if r.opens else "response" if head else "resource"
     date = warc_date(r.date) or info[1] or "1970-01-01T00:00:00Z"
-    record_id = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{r.archive}#{r.at} {r.uri} {r.date} {block.hex()}')}>"
-    headers: list[tuple[str, str | None]] = [("WARC-Record-ID", record_id), ("WARC-Date", date)]
-    if r.opens:
-        kind, content, mime = "warcinfo", f"format: WARC File Format 1.1\r\ndescription: from ARC version {r.version}\r\n".encode(), "application/warc-fields"
-        headers.append(("WARC-Filename", r.archive))
-        return Converted(record_id, kind, r.uri, date, None, b"", b"", b"", [("WARC-Type", kind), *headers, ("Content-Type", mime)], content)
-    kind, mime = ("response", "application/http; msgtype=response") if head else ("resource", "text/dns" if r.uri.startswith("dns:") else r.mime or "application/octet-stream")
-    headers += [
-        ("WARC-Target-URI", r.uri),
-        ("WARC-IP-Address", r.ip if r.ip not in ("-", "0.0.0.0") else None),
-        ("WARC-Warcinfo-ID", info[0] or None),
-        ("WARC-Block-Digest", labelled(block)),
-        ("WARC-Payload-Digest", labelled(sha1)),
-        ("WARC-Truncated", r.flaw and "unspecified"),
-        ("Content-Type", mime),
-    ]
-    key = whole_number(header_value(head, key_header))
-    return Converted(record_id, kind, r.uri, date, key, head, payload, sha1, [("WARC-Type", kind), *headers], r.body)
+    return Converted(r, record_id, kind, date, whole_number(header_value(head, key_header)), head, payload, sha1, info[0])
 
 
 def convert_file(raw: bytes, name: str, key_header: str) -> Iterator[Converted]:
@@ -258,7 +259,7 @@ def index_payloads(files: DataFrame, key_header: str, least: int) -> DataFrame:
         for path, content in each_file(batches):
             for r in convert_file(content, path.rsplit("/", 1)[-1], key_header):
                 if r.kind == "response" and len(r.payload) >= least:
-                    yield r.record_id, r.uri, r.date, r.key, r.sha1, hashlib.sha256(r.payload).digest(), len(r.payload), r.head
+                    yield r.record_id, r.source.uri, r.date, r.key, r.sha1, hashlib.sha256(r.payload).digest(), len(r.payload), r.head
 
     return files.mapInPandas(lambda batches: in_batches(rows(batches), INDEX, lambda r: 300 + len(r[-1])), INDEX)
 
@@ -321,7 +322,7 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, key_header: str
     def rows(batches):
         for path, content in each_file(batches):
             for r in convert_file(content, path.rsplit("/", 1)[-1], key_header):
-                yield r.record_id, member(warc_record(r.headers, r.block))
+                yield r.record_id, member(r.record())
 
     schema = "record_id string, member binary"
     whole = files.mapInPandas(lambda batches: in_batches(rows(batches), schema, lambda r: len(r[1])), schema)
