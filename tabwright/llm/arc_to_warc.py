@@ -201,7 +201,9 @@ def header_value(head: bytes, name: str) -> str | None:
 
 
 def whole_number(text: str | None) -> int | None:
-    return int(text) if text is not None and re.fullmatch(r"-?\d{1,18}", text) else None
+    """A long, or null for anything else."""
+    number = int(text) if text is not None and re.fullmatch(r"-?[0-9]{1,19}", text) else 1 << 63
+    return number if -(1 << 63) <= number < 1 << 63 else None
 
 
 def convert_record(r: ArcRecord, info: tuple[str, str | None], key_header: str) -> Converted:

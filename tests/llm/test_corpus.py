@@ -22,7 +22,7 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert len({n.split("_")[0] for n in QUERIES}) == 10
+    assert len({n.split("_")[0] for n in QUERIES}) == 13
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language ID", "exact dedup", "n-gram Jaccard join", "mixing", "BPE"]
 
 
