@@ -91,12 +91,12 @@ def _boosted(spark: SparkSession, sf_dir: str, make) -> DataFrame:
 
 @query("oof_gbt")
 def oof_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _boosted(spark, sf_dir, learn.boosted_trees)
+    return _boosted(spark, sf_dir, lambda: learn.boosted_trees(metric=stack.log_scale_mae))
 
 
 @query("oof_gbt_b")
 def oof_gbt_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _boosted(spark, sf_dir, learn.boosted_trees_b)
+    return _boosted(spark, sf_dir, lambda: learn.boosted_trees_b(metric=stack.log_scale_mae))
 
 
 @query(

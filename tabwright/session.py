@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -60,6 +61,20 @@ def scratch_dir(spark: SparkSession) -> str:
     return base
 
 
+def distribute(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, as ``--py-files`` would.
+
+    Only what runs Python code in tasks needs it. Executors fetch the file from the driver.
+    """
+    context = spark.sparkContext
+    if not getattr(context, "_tabwright_shipped", False):
+        package = os.path.dirname(os.path.abspath(__file__))
+        staged = os.path.join(tempfile.mkdtemp(prefix="tabwright-"), "src")
+        shutil.copytree(package, os.path.join(staged, os.path.basename(package)), ignore=shutil.ignore_patterns("__pycache__"))
+        context.addPyFile(shutil.make_archive(os.path.join(os.path.dirname(staged), "tabwright_package"), "zip", staged))
+        context._tabwright_shipped = True
+
+
 # Paths of this process's intermediate tables, for ``clear_scratch``.
 _WRITTEN: list[str] = []
 
