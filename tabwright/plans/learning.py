@@ -99,6 +99,59 @@ def oof_gbt_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _boosted(spark, sf_dir, lambda: learn.boosted_trees_b(metric=stack.log_scale_mae))
 
 
+# Absolute-loss boosting that SQL can state: two rounds of stumps on features with few values.
+
+STUMP_FEATURES = ["kilometer", "model", "gearbox"]
+STUMP_FOLDS = 3
+STUMP_ROUNDS = 2
+STUMP_STEP = 0.5
+STUMP_LEAST = 20
+
+
+def _sql_stumps() -> str:
+    """Median base, best split of the signs, median leaves; the round with the least held-out error is kept."""
+    xs = [f"coalesce(cast({c} as double), {learn.MISSING}) as x{i}" for i, c in enumerate(STUMP_FEATURES)]
+    places = range(len(STUMP_FEATURES))
+    pick = "case f " + " ".join(f"when {i} then x{i}" for i in places) + " end"
+    tables = [
+        f"""rows_ as (select sale_id, is_train, ln(1 + price) as y, case when is_train then ntile({STUMP_FOLDS}) over (partition by is_train order by sale_id) - 1 end as fold,
+                   {', '.join(xs)} from listing)""",
+        f"models as (select unnest(range({STUMP_FOLDS})) as m)",
+        "base as (select m, median(y) as b from models join rows_ on fold <> m group by m)",
+        "z0 as (select r.*, base.m, b as score, coalesce(fold <> base.m, false) as learns from rows_ r, base)",
+        "edges as (" + " union all ".join(f"select distinct {i} as f, x{i} as edge from rows_ where is_train and x{i} < (select max(x{i}) from rows_ where is_train)" for i in places) + ")",
+    ]
+    for r in range(STUMP_ROUNDS):
+        tables += [
+            f"c{r} as (select m, f, edge, count(*) as n, sum(sign(y - score)) as s, count(*) filter ({pick} <= edge) as nl, coalesce(sum(sign(y - score)) filter ({pick} <= edge), 0) as sl from z{r}, edges where learns group by m, f, edge)",
+            f"g{r} as (select *, sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n as gain from c{r} where nl >= {STUMP_LEAST} and n - nl >= {STUMP_LEAST})",
+            f"s{r} as (select m, f, edge from g{r} where gain > 1e-9 qualify row_number() over (partition by m order by gain desc, f, edge) = 1)",
+            f"d{r} as (select z.*, {pick} <= edge as side from z{r} z left join s{r} s on s.m = z.m)",
+            f"v{r} as (select m, side, median(y - score) as v from d{r} where learns group by m, side)",
+            f"z{r + 1} as (select d.sale_id, d.is_train, d.y, d.fold, {', '.join(f'x{i}' for i in places)}, d.m, d.score + {STUMP_STEP} * v.v as score, d.learns from d{r} d join v{r} v on v.m = d.m and v.side is not distinct from d.side)",
+        ]
+    scores = " union all ".join(f"select {r} as r, m, avg(abs(y - score)) as mae from z{r} where fold = m group by m" for r in range(1, STUMP_ROUNDS + 1))
+    every = " union all ".join(f"select {r} as r, sale_id, is_train, fold, m, score from z{r}" for r in range(1, STUMP_ROUNDS + 1))
+    tables.append(f"kept as (select m, r from ({scores}) s qualify row_number() over (partition by m order by mae, r) = 1)")
+    body = f"""select sale_id, is_train, {sql_rounded('avg(score)', 6)} as prediction
+               from ({every}) a join kept on kept.m = a.m and kept.r = a.r where fold is null or fold = a.m group by sale_id, is_train"""
+    return on_listing(body, ", ".join(tables))
+
+
+@query("oof_stumps", _sql_stumps())
+def oof_stumps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Absolute-loss boosting whose every number SQL can give: bases, splits, leaf medians, kept rounds."""
+    rows = stored_listing(spark, sf_dir, ["sale_id", "is_train", "price", *STUMP_FEATURES])
+    rows = matrix.as_vector(rows.withColumn("label", S.to_log(F.col("price"))), STUMP_FEATURES, keep=["sale_id", "is_train", "label"])
+    rows = materialize(matrix.fill_gaps(rows, value=learn.MISSING), "stumps")
+    rows = folds.contiguous_folds(rows, STUMP_FOLDS, F.col("sale_id"), where=F.col("is_train"))
+    make = lambda: learn.boosted_trees(
+        depth=1, rounds=STUMP_ROUNDS, patience=STUMP_ROUNDS, step=STUMP_STEP, rows_share=1.0, feature_share=1.0, min_rows=STUMP_LEAST, median_points=1 << 20
+    )
+    out = learn.cross_fit(rows, make, STUMP_FOLDS).transform(rows)
+    return out.select("sale_id", "is_train", rounded(F.col("prediction"), 6).alias("prediction"))
+
+
 @query(
     "oof_gbt_checks",
     on_listing("select is_train, count(*) as n, count(distinct sale_id) as sales, 0::bigint as negative, count(*) as finite from listing group by is_train"),
