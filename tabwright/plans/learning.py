@@ -173,10 +173,44 @@ def oof_gbt_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("cross_fit_linear")
 def cross_fit_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _cross_fitted(spark, sf_dir, learn.robust_linear, gap=0.0)
+    out = _cross_fitted(spark, sf_dir, learn.absolute_linear, gap=0.0)
     return out.select("sale_id", "is_train", F.col("prediction").alias("price"))
 
 
+LEVEL_FEATURES = ["kilometer", "gearbox"]
+
+
+@query(
+    "absolute_by_level",
+    on_listing(
+        f"""select m as fold, {sql_rounded('avg(abs(y - middle))', 3)} as objective
+            from (select m, y, median(y) over (partition by m, kilometer, gearbox) as middle
+                  from (select unnest(range({STUMP_FOLDS})) as m) f,
+                       (select ln(1 + price) as y, kilometer, gearbox, ntile({STUMP_FOLDS}) over (order by sale_id) - 1 as fold
+                        from listing where is_train) l
+                  where fold <> m) x group by m"""
+    ),
+)
+def absolute_by_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The least absolute error per fold on indicators of all combinations of two features.
+
+    With an indicator per combination the best line goes through their medians, so SQL can say what
+    the fit must reach.
+    """
+    rows = stored_listing(spark, sf_dir, ["sale_id", "is_train", "price", *LEVEL_FEATURES])
+    rows = rows.filter("is_train").withColumn("label", S.to_log(F.col("price")))
+    level = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("none")) for c in LEVEL_FEATURES])
+    rows = materialize(rows.select("sale_id", "label", level.alias("level")), "levels")
+    # A dozen levels of a feature with few values.
+    levels = sorted(r[0] for r in rows.select("level").distinct().collect())
+    flags = {f"level_{i}": F.when(F.col("level") == name, 1.0).otherwise(0.0) for i, name in enumerate(levels)}
+    rows = matrix.as_vector(rows.withColumns(flags), list(flags), keep=["sale_id", "label"])
+    rows = folds.contiguous_folds(rows, STUMP_FOLDS, F.col("sale_id"))
+    fitted = learn.cross_fit(rows, learn.absolute_linear, STUMP_FOLDS)
+    found = [(i, model.objective) for i, model in enumerate(fitted.models)]
+    return spark.createDataFrame(found, "fold long, objective double").select("fold", rounded(F.col("objective"), 3).alias("objective"))
+
+
 @query("feature_importance")
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importances averaged over the fold models, each stopped on its held-out fold."""
