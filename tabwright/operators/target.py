@@ -15,10 +15,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.functions.scalars import WeightHook, weight_hook
+from tabwright.operators.complement import medians_outside
 from tabwright.operators.folds import fold_of
 from tabwright.operators.levels import KeyFacts, facts_of, unpivot_levels, unused
 from tabwright.operators.lookup import lookup_level
-from tabwright.operators.profile import global_profile, profile, stat_name
+from tabwright.operators.profile import global_profile
 from tabwright.session import materialize
 
 def _partials(rows: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
@@ -207,8 +208,8 @@ def _target_stat(stat: str, parts: Column) -> Column:
 class FoldTargetEncoder(Estimator):
     """Out-of-fold statistics of the target per level, global statistic where unseen.
 
-    ``median`` has no partial form: its rows are repeated into the k - 1 folds that
-    may see them, which makes it by far the dearest statistic.
+    ``median`` has no partial form. It is found by counts per slice of the values and fold, all
+    less own, so the medians of all folds come from one reading (``complement``).
     """
 
     def __init__(
@@ -268,18 +269,8 @@ class FoldTargetEncoder(Estimator):
         return {s: float(row[f"y_{s}"]) for s in self.stats}
 
     def _medians(self, long: DataFrame, default: float) -> DataFrame:
-        folds = F.sequence(F.lit(0), F.lit(self.k - 1))
-        seen_by = long.withColumn("held_out", F.explode(F.filter(folds, lambda f: f != F.col("fold"))))
-        cell = ("feature", "level", "held_out")
-        medians = profile(seen_by, cell, {"y": F.col("y")}, ["median"])
-        entry = F.struct("held_out", stat_name(cell, "y", "median"))
-        per_level = medians.groupBy("feature", "level").agg(
-            F.map_from_entries(F.collect_list(entry)).alias("by_fold")
-        )
-        value = _per_fold(
-            self.k, lambda f: F.coalesce(F.try_element_at(F.col("by_fold"), f), F.lit(default))
-        )
-        return per_level.select("feature", "level", value.alias("median"))
+        found = medians_outside(long, ["feature", "level"], "y", "fold", self.k)
+        return found.select("feature", "level", F.transform("medians", lambda m: F.coalesce(m, F.lit(default))).alias("median"))
 
 
 class TargetEncoding(Model):
