@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.functions.scalars import WeightHook, weight_hook
+from tabwright.operators import sketches
 from tabwright.operators.complement import medians_outside
 from tabwright.operators.folds import fold_of
 from tabwright.operators.levels import KeyFacts, facts_of, unpivot_levels, unused
@@ -209,7 +210,8 @@ class FoldTargetEncoder(Estimator):
     """Out-of-fold statistics of the target per level, global statistic where unseen.
 
     ``median`` has no partial form. It is found by counts per slice of the values and fold, all
-    less own, so the medians of all folds come from one reading (``complement``).
+    less own, so the medians of all folds come from one reading (``complement``). With
+    ``approx`` it comes from sketches per level and fold (``sketches``, which state their error).
     """
 
     def __init__(
@@ -219,9 +221,10 @@ class FoldTargetEncoder(Estimator):
         k: int,
         fold: str = "fold",
         stats: Sequence[str] = TARGET_STATS,
+        approx: bool = False,
     ):
         super().__init__()
-        self.features, self.target, self.k = list(features), target, k
+        self.features, self.target, self.k, self.approx = list(features), target, k, approx
         self.fold, self.stats = fold, list(stats)
 
     def _fit(self, dataset: DataFrame) -> "TargetEncoding":
@@ -269,7 +272,8 @@ class FoldTargetEncoder(Estimator):
         return {s: float(row[f"y_{s}"]) for s in self.stats}
 
     def _medians(self, long: DataFrame, default: float) -> DataFrame:
-        found = medians_outside(long, ["feature", "level"], "y", "fold", self.k)
+        outside = sketches.medians_outside if self.approx else medians_outside
+        found = outside(long, ["feature", "level"], "y", "fold", self.k)
         return found.select("feature", "level", F.transform("medians", lambda m: F.coalesce(m, F.lit(default))).alias("median"))
 
 

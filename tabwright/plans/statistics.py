@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.functions.moments import entropy_of_counts
-from tabwright.operators import frequency
+from tabwright.operators import frequency, sketches
 from tabwright.operators.levels import key_name, measure
 from tabwright.operators.profile import (
     PRICE_STATS,
@@ -19,6 +19,7 @@ from tabwright.operators.profile import (
 )
 from tabwright.plans.columns import SQL_DAYS, dated
 from tabwright.plans.registry import on_listing, query, round_columns, rounded, sql_rounded
+from tabwright.session import materialize
 from tabwright.sources.tables import listing, stored_listing, table
 
 # Decimal places a statistic of two-decimal money values is compared at.
@@ -357,3 +358,25 @@ def pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_columns(out.drop(*singles, *[f"{c}_count" for c in singles]), 6)
 
 
+
+
+@query(
+    "group_sketches",
+    on_listing(
+        f"""select region_code, {sql_rounded('median(price)', 6)} as price_median, {sql_rounded('median(power)', 6)} as power_median,
+                   count(distinct name) as name_nunique, count(distinct model) as model_nunique
+            from listing where region_code is not null group by region_code"""
+    ),
+)
+def group_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Approximate medians and distinct counts per region: labelled and unlabelled rows are sketched apart and merged.
+
+    Groups smaller than a sketch have exact medians, which is what SQL compares; ``tests/test_sketches.py``
+    holds larger ones against the stated errors.
+    """
+    rows = listing(spark, sf_dir, ["is_train", "region_code", "price", "power", "name", "model"])
+    by = ["region_code"]
+    medians = {c: F.col(c) for c in ("price", "power")}
+    distincts = {c: F.col(c) for c in ("name", "model")}
+    stored = [materialize(sketches.sketch(rows.filter(side), by, medians, distincts), "sketches") for side in ("is_train", "not is_train")]
+    return round_columns(sketches.read(sketches.merge(stored, by), by), 6)
