@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.functions import scalars as S
-from tabwright.operators import folds, learn, matrix, stack
+from tabwright.operators import folds, learn, matrix, screening, stack
 from tabwright.operators.target import FoldTargetEncoder
 from tabwright.plans.columns import VECTOR, dated
 from tabwright.plans.encoders import sql_digest
@@ -236,6 +236,30 @@ def feature_importance_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SCREENED = ["kilometer", "power", "model", "gearbox", "acctbal", *VECTOR[:4]]
+
+
+@query(
+    "feature_screening",
+    on_listing(
+        "with x as (select ln(1 + power) + 0.5 * gearbox as label, * from listing where is_train) "
+        + "\nunion all\n".join(
+            f"select '{c}' as feature, coalesce(power(corr(label, cast({c} as double)), 2) > 0.01, false) as kept from x" for c in SCREENED
+        )
+    ).replace("\nwith x as", ", x as", 1),
+)
+def feature_screening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which features stay for a label made of two of them and what goes with them; SQL judges by correlation."""
+    rows = dated(spark, sf_dir, "is_train", *SCREENED)
+    label = F.log(F.lit(1.0) + F.col("power")) + 0.5 * F.col("gearbox")
+    rows = matrix.as_vector(rows.withColumn("label", label), SCREENED, keep=["sale_id", "is_train", "label"])
+    rows = materialize(matrix.fill_gaps(rows.filter("is_train and label is not null"), value=learn.MISSING), "screening")
+    rows = folds.contiguous_folds(rows, STUMP_FOLDS, F.col("sale_id"))
+    make = lambda: learn.boosted_trees(depth=3, step=0.5, rounds=8, feature_share=1.0)
+    kept = screening.screen(rows, make, STUMP_FOLDS, SCREENED).names
+    return spark.createDataFrame([(c, c in kept) for c in SCREENED], "feature string, kept boolean")
+
+
 # Stacking. The base predictions are out-of-fold means, which SQL can state exactly.
 
 STACK_KEYS = {"pred_a": "region_code", "pred_b": "model"}
