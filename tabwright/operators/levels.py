@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,9 +17,11 @@ Key = str | tuple[str, ...]
 HOT_SHARE = 0.001
 # Cells (levels x values) a table may hold and still be broadcast, some 64 MB in memory.
 BROADCAST_CELLS = 4_000_000
+# Most cells that all broadcast tables of one plan hold together.
+PLAN_CELLS = 4_000_000
 # An array in a looked-up table holds one value per fold; count it as this many cells.
 ARRAY_CELLS = 16
-# Keys with fewer levels than this are always broadcast, so their hot levels do not matter.
+# Keys with fewer levels than this are broadcast unless a plan has no room, so their hot levels are not measured at first.
 FEW_LEVELS = 4_000
 
 
@@ -75,8 +77,12 @@ class KeyFacts:
     n_levels: int
     largest: int
     hot: tuple[str, ...] = ()
+    # False if the plan's budget for broadcasts has no room for it (``within_budget``).
+    may_broadcast: bool = True
 
     def fits_broadcast(self, stats: DataFrame) -> bool:
+        if not self.may_broadcast:
+            return False
         cells = self.n_levels * cells_per_row(stats.schema)
         return self.n_levels < FEW_LEVELS or cells <= BROADCAST_CELLS
 
@@ -87,8 +93,31 @@ def cells_per_row(kind: T.DataType) -> int:
     return ARRAY_CELLS if isinstance(kind, T.ArrayType) else 1
 
 
-def facts_of(counts: DataFrame, hot_share: float | None = None) -> dict[str, KeyFacts]:
-    """Facts per feature from a ``(feature, level, n)`` table."""
+def within_budget(facts: dict[str, KeyFacts], tables: dict[str, DataFrame], counts: DataFrame, budget: int | None = None) -> dict[str, KeyFacts]:
+    """Facts of all lookups of one plan, of which those may broadcast that fit into one budget together.
+
+    ``tables`` has the table that each key is looked up in. The smallest come first, so that as many as
+    possible leave the rows where they are. For the others hot levels are measured
+    however few levels there are, as their rows will be shuffled.
+    """
+    left = PLAN_CELLS if budget is None else budget
+    size = {name: facts[name].n_levels * cells_per_row(table.schema) for name, table in tables.items()}
+    out, refused = dict(facts), []
+    for name in sorted(tables, key=lambda n: (size[n], n)):
+        if size[name] <= left and facts[name].fits_broadcast(tables[name]):
+            left -= size[name]
+        else:
+            refused.append(name)
+    if refused:
+        measured = facts_of(counts.filter(F.col("feature").isin(refused)), few=0)
+        for name in refused:
+            out[name] = replace(measured.get(name, facts[name]), may_broadcast=False)
+    return out
+
+
+def facts_of(counts: DataFrame, hot_share: float | None = None, few: int | None = None) -> dict[str, KeyFacts]:
+    """Facts per feature from a ``(feature, level, n)`` table; features of fewer than ``few`` levels have no hot ones."""
+    few = FEW_LEVELS if few is None else few
     share = HOT_SHARE if hot_share is None else hot_share
     sizes = (
         counts.groupBy("feature")
@@ -98,7 +127,7 @@ def facts_of(counts: DataFrame, hot_share: float | None = None) -> dict[str, Key
     floors = {
         r["feature"]: r["rows"] * share
         for r in sizes
-        if r["n_levels"] >= FEW_LEVELS and r["largest"] >= r["rows"] * share
+        if r["n_levels"] >= few and r["largest"] >= r["rows"] * share
     }
     hot: dict[str, list[str]] = {}
     if floors:
