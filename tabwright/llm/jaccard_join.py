@@ -1,4 +1,4 @@
-"""Exact n-gram Jaccard join: a prefix filter on shared shingles, and pivots in rounds on what is left."""
+"""Exact n-gram Jaccard join: a prefix filter on shared shingles, rounds of pivots, and bounded regions compared each in a task."""
 
 from __future__ import annotations
 
@@ -32,6 +32,11 @@ FREQUENT = 100_000
 ROWS_OUT = 100_000
 # Members of a pivot that one task compares.
 MEMBERS = 2000
+# Rounds of one leading pivot per meeting before what is left is compared by regions.
+ROUNDS = 2
+# Bytes of sets and meetings in a block of a region, and pivots whose distances prune a block's pairs.
+REGION_BYTES = 32 << 20
+REGION_PIVOTS = 8
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -224,18 +229,11 @@ def rare_meetings(met: DataFrame) -> DataFrame:
     return kept.withColumn("unmet", unmet(n)).drop("upto")
 
 
-def leaders(met: DataFrame, most: int) -> DataFrame:
-    """Sets (cls) that are among the first ``most`` of every meeting they are in, in a common order.
-
-    A meeting holds at most ``most`` of them, however many sets meet there.
-    """
+def leaders(met: DataFrame) -> DataFrame:
+    """Sets (cls) that come first in every meeting they are in, in a common order; a meeting holds at most one."""
     place = F.xxhash64("cls").alias("place")
-    if most == 1:
-        first = met.groupBy("s").agg(F.min(F.struct(place, "cls")).alias("first"))
-        ranked = met.join(first, "s").select("cls", (F.col("first.cls") == F.col("cls")).alias("among"))
-    else:
-        order = W.partitionBy("s").orderBy(place, "cls")
-        ranked = met.select("cls", (F.row_number().over(order) <= most).alias("among"))
+    first = met.groupBy("s").agg(F.min(F.struct(place, "cls")).alias("first"))
+    ranked = met.join(first, "s").select("cls", (F.col("first.cls") == F.col("cls")).alias("among"))
     return ranked.groupBy("cls").agg(F.min("among").alias("always")).filter("always").select("cls")
 
 
@@ -277,31 +275,128 @@ def distances(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     return dealt.mapInPandas(compare, "x long, p long, d double, near boolean")
 
 
-def pivots_in(turn: int) -> int:
-    """Pivots of a meeting in a round: 1, 1, 8, 64, then three times as many each time."""
-    return 1 if turn < 2 else 8 if turn == 2 else 64 * 3 ** (turn - 3)
+class Region:
+    """Sets of one region, or of two of its blocks, that one task compares."""
+
+    def __init__(self, sets: list[np.ndarray], meets: list[np.ndarray], times: list[np.ndarray], labels: np.ndarray):
+        self.sets, self.n = sets, np.array([len(s) for s in sets], np.int64)
+        self.unmet = self.n - np.array([prefix_size(int(n)) for n in self.n], np.int64)
+        sizes = [len(x) for x in meets]
+        self.ends = np.cumsum(sizes)
+        _, self.codes = np.unique(np.concatenate(meets), return_inverse=True)
+        self.times = np.concatenate(times)
+        by_meeting = np.argsort(self.codes, kind="stable")
+        self.members = np.repeat(np.arange(len(sets)), sizes)[by_meeting]
+        self.starts = np.append(0, np.cumsum(np.bincount(self.codes)))
+        _, self.root = np.unique(labels, return_inverse=True)
+        self.to_pivots = self._measured()
+
+    def _measured(self) -> np.ndarray:
+        """Exact distances of all sets to some pivots, each the set farthest from those before it."""
+        cells, ends = np.concatenate(self.sets), np.cumsum(self.n)
+        out, pivot, nearest = [], 0, np.full(len(self.sets), np.inf)
+        for _ in range(min(REGION_PIVOTS, len(self.sets))):
+            head = self.sets[pivot]
+            at = np.minimum(np.searchsorted(head, cells), len(head) - 1)
+            both = np.diff(np.append(0, np.cumsum(head[at] == cells)[ends - 1]))
+            out.append(1 - both / (self.n + len(head) - both))
+            nearest = np.minimum(nearest, out[-1])
+            pivot = int(nearest.argmax())
+        return np.array(out).T
+
+    def partners(self, x: int) -> np.ndarray:
+        """Later sets that may be near: by size, by common meetings and by the triangle inequality."""
+        mine = slice(self.ends[x - 1] if x else 0, self.ends[x])
+        lists = [self.members[self.starts[c] : self.starts[c + 1]] for c in self.codes[mine]]
+        weight = np.repeat(self.times[mine], [len(m) for m in lists])
+        met = np.bincount(np.concatenate(lists), weights=weight, minlength=len(self.sets))
+        y = np.flatnonzero(met)
+        y = y[y > x]
+        n, m = self.n[x], self.n[y]
+        shared = -(-PERCENT * (n + m) // (100 + PERCENT))
+        least = np.maximum(1, shared - np.maximum(self.unmet[x], self.unmet[y]))
+        y = y[(100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)) & (met[y] >= least)]
+        gap = np.abs(self.to_pivots[y] - self.to_pivots[x]).max(axis=1, initial=0)
+        return y[gap <= 1 - PERCENT / 100 + 1e-9]
+
+    def near(self, x: int, y: int) -> bool:
+        a, b = sorted((self.sets[x], self.sets[y]), key=len)
+        both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+        return 100 * both >= PERCENT * (len(a) + len(b) - both)
+
+    def links(self, blocks: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Links that join all near sets of a block, or of two blocks, to each other; none is within one label."""
+        root, across = self.root, blocks.min() != blocks.max()
+        for x in range(len(self.sets)):
+            for y in self.partners(x):
+                if across and blocks[x] == blocks[y] or root[x] == root[y]:
+                    continue
+                if self.near(x, y):
+                    root[root == root[y]] = root[x]
+                    yield x, int(y)
+
+
+def region_links(met: DataFrame, whole: DataFrame, block_bytes: int = REGION_BYTES) -> DataFrame:
+    """Links (u, v) among the sets of open meetings.
+
+    Sets connected by meetings are a region: near sets that are not in one component yet
+    meet, so they are in one. A region is compared in one task, which counts the meetings of
+    its pairs in memory; only links leave it. A larger one is cut into blocks of
+    ``block_bytes`` by a hash, and every two blocks are compared in a task.
+    """
+    hubs = met.groupBy("s").agg(F.min("cls").alias("v"))
+    region = components(met.join(hubs, "s").select(F.col("cls").alias("u"), "v")).withColumnRenamed("label", "region")
+    sets = met.groupBy("cls", "label").agg(F.collect_list(F.struct("s", "times")).alias("m"))
+    rows = sets.join(region, sets["cls"] == region["node"]).join(whole, "cls")
+    rows = rows.select("region", "cls", "label", F.col("m.s").alias("s"), F.col("m.times").alias("times"), "shingles")
+    rows = materialize(rows, "jaccard-regions")
+    weight = F.sum(F.length("shingles") + 16 * F.size("s"))
+    blocks = rows.groupBy("region").agg(F.ceil(weight / block_bytes).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
+    rows = rows.join(blocks, "region").withColumn("block", block)
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("blocks", "other")
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        # Two blocks of which a hash left one empty have no pairs.
+        if group["i"].iloc[0] != group["j"].iloc[0] and group["block"].nunique() < 2:
+            return pd.DataFrame({"u": [], "v": []}, dtype="int64")
+        sets = [np.frombuffer(data, np.uint64) for data in group["shingles"]]
+        region = Region(sets, list(group["s"]), list(group["times"]), group["label"].to_numpy())
+        cls = group["cls"].to_numpy()
+        found = [(cls[x], cls[y]) for x, y in region.links(group["block"].to_numpy())]
+        return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
+
+    return rows.groupBy("region", "i", "j").applyInPandas(compare, "u long, v long")
 
 
 def links(met: DataFrame, whole: DataFrame) -> DataFrame:
     """Labels (node, label) of all sets that have links.
 
-    The sets that share a shingle are a meeting. In a round, sets that come first in all their
-    meetings are pivots, ``pivots_in`` of them per meeting at most.
+    The sets that share a shingle are a meeting. In each of the ``ROUNDS`` first rounds, sets
+    that come first in all their meetings are pivots, one per meeting at most.
     Only each set's rare meetings count, without which no near pair meets. A pivot is paired
-    with all that it meets there; pairs that share too few shingles in all are out. A set belongs to the region of the pivot that
-    it shares most with and is compared with that one first; other pivots matter only
+    with all that it meets there, so there are no more rows than meetings; pairs that share too few
+    shingles in all are out. A set is compared with the pivot that
+    it shares most with first; other pivots matter only
     while they are in other components. Pairs whose distances to a common pivot differ by
     more than the threshold are too far apart by the triangle inequality. Compared pivots
-    leave, and the rest goes on in the meetings that hold several components.
+    leave, meetings that hold one component are closed, and what is left is compared region by region.
     """
     spark = met.sparkSession
     labels = spark.createDataFrame([], "node long, label long")
     windows = spark.createDataFrame([], "node long, pivot long, d double")
 
-    turn = 0
-    while not met.isEmpty():
+    def joined(near: DataFrame) -> DataFrame:
+        if near.isEmpty():
+            return labels
+        return components(near.unionByName(labels.select(F.col("node").alias("u"), F.col("label").alias("v"))))
+
+    for turn in range(ROUNDS):
+        if met.isEmpty():
+            return labels
         rare = materialize(rare_meetings(met), "jaccard-rare")
-        pivots = materialize(leaders(rare, pivots_in(turn)), "jaccard-pivots")
+        pivots = materialize(leaders(rare), "jaccard-pivots")
         heads = rare.join(sized(pivots), "cls", "left_semi").select(
             "s", *[F.col(c).alias(f"p_{c}") for c in ("cls", "n", "label", "open", "rest", "cut", "unmet")]
         )
@@ -323,25 +418,22 @@ def links(met: DataFrame, whole: DataFrame) -> DataFrame:
         known = pivots.select(F.col("cls").alias("x"), F.lit(True).alias("leads"))
         pairs = pairs.join(sized(known), "x", "left").filter("leads is null or x > p").select("x", "p", "c")
         pairs = materialize(pairs, "jaccard-pairs")
-        # Once little is left, comparing all at once takes less time than asking twice.
         first = pairs.groupBy("x").agg(F.max(F.struct("c", "p")).alias("b")).select("x", F.col("b.p").alias("region"))
         regions = pairs.join(first, "x")
-        steps = ("p = region", "p <> region") if turn < 2 else ("true",)
-        for step in steps:
+        for step in ("p = region", "p <> region"):
             wanted = materialize(_apart(regions.filter(step).select("x", "p"), labels, windows), "jaccard-wanted")
             if wanted.isEmpty():
                 continue
             found = materialize(distances(wanted, whole), "jaccard-distances")
-            near = found.filter("near").select(F.col("x").alias("u"), F.col("p").alias("v"))
-            if not near.isEmpty():
-                labels = components(near.unionByName(labels.select(F.col("node").alias("u"), F.col("label").alias("v"))))
+            labels = joined(found.filter("near").select(F.col("x").alias("u"), F.col("p").alias("v")))
             if turn == 0:
                 windows = windows.unionByName(found.select(F.col("x").alias("node"), F.col("p").alias("pivot"), "d"))
         rest = met.join(sized(pivots), "cls", "left_anti").drop("label")
         rest = rest.join(sized(labels), rest["cls"] == labels["node"], "left")
         met = supported(rest.select("s", "cls", "n", F.coalesce("label", "cls").alias("label"), "times"))
-        turn += 1
-    return labels
+    if met.isEmpty():
+        return labels
+    return joined(materialize(region_links(met, whole), "jaccard-links"))
 
 
 def _apart(pairs: DataFrame, labels: DataFrame, windows: DataFrame) -> DataFrame:

@@ -95,6 +95,31 @@ def test_jaccard_join_links_copies_with_appended_text_in_a_half_similar_family(s
     assert Counter(map(tuple, jaccard_join.near_duplicates(data.frame(spark, rows)).collect())) == want
 
 
+@pytest.mark.parametrize("block", [jaccard_join.REGION_BYTES, 20_000], ids=["whole", "blocks"])
+def test_jaccard_join_compares_large_half_similar_families(spark, monkeypatch, block):
+    """Several hundred texts that share about half of their shingles, among them near ones that no round of pivots meets."""
+    rng = np.random.default_rng(7)
+    blocks, rows = [data.prose(300_000 + i, 10) for i in range(40)], []
+    for i in range(300):
+        mine = np.sort(rng.permutation(40)[:26])
+        rows.append((i, " ".join(w for k in mine for w in blocks[k]), None, None, None))
+    for i in range(0, 300, 7):
+        words = rows[i][1].split()
+        at = int(rng.integers(0, 200))
+        rows.append((1000 + i, " ".join([*words[:at], *data.prose(400_000 + i, 20), *words[at + 20 :]]), None, None, None))
+    want = _near(rows)
+    monkeypatch.setattr(jaccard_join.region_links, "__defaults__", (block,))
+    assert Counter(map(tuple, jaccard_join.near_duplicates(data.frame(spark, rows)).collect())) == want
+
+
+@pytest.mark.parametrize("block", [1 << 30, 1500], ids=["whole", "blocks"])
+def test_regions_alone_find_all_links(spark, monkeypatch, block):
+    rows = data.corpus(90)
+    monkeypatch.setattr(jaccard_join, "ROUNDS", 0)
+    monkeypatch.setattr(jaccard_join.region_links, "__defaults__", (block,))
+    assert Counter(map(tuple, jaccard_join.near_duplicates(data.frame(spark, rows)).collect())) == _near(rows)
+
+
 def test_bounds_on_shared_prefix_shingles(spark):
     rng = np.random.default_rng(1)
     rows = []
