@@ -18,17 +18,20 @@ PIVOTS = 64
 ANNULUS = 1024
 TOGETHER = 128
 WALK = 64
-# Components of this size and beyond don't give scores that fit a long.
-TOO_LARGE = 2.0**28
+# Scaled components are kept in 32 bits; larger finite ones are an error, never left out.
+TOO_LARGE = 2.0**31
 
 
 def quantized(vector: Column, factor: int = 64) -> Column:
-    """floor(factor * x) of the components as longs; null if the vector takes no part."""
+    """floor(factor * x) of the components as longs; null if the vector takes no part.
+
+    A finite component of 2 ** 31 or more after scaling raises.
+    """
     whole = F.transform(vector, lambda x: F.floor(F.lit(float(factor)) * x.cast("double")))
-    sound = F.forall(
-        vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) * factor < F.lit(TOO_LARGE))
-    )
-    return F.when(F.coalesce(sound, F.lit(False)), whole.cast("array<long>"))
+    sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
+    fits = F.forall(vector, lambda x: F.abs(x.cast("double")) * factor < F.lit(TOO_LARGE))
+    refused = F.raise_error(F.lit("a vector's component is too large to be scored")).cast("array<long>")
+    return F.when(F.coalesce(sound, F.lit(False)), F.when(fits, whole.cast("array<long>")).otherwise(refused))
 
 
 class Space:
@@ -67,10 +70,13 @@ def matrix(cells: bytes, dim: int) -> np.ndarray:
 
 def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Exact integer inner products: doubles hold whole numbers up to 2 ** 53."""
-    largest = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * q.shape[1]
+    largest = np.abs(q.astype(np.float64)).max(initial=0) * np.abs(x.astype(np.float64)).max(initial=0) * q.shape[1]
     if largest < 2.0**52:
         return (q.astype(np.float64) @ x.astype(np.float64).T).astype(np.int64)
-    return q.astype(np.int64) @ x.astype(np.int64).T
+    if largest < 2.0**62:
+        return q.astype(np.int64) @ x.astype(np.int64).T
+    # Python's integers; a score that no long holds raises.
+    return (q.astype(object) @ x.astype(object).T).astype(np.int64)
 
 
 def best_first(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -91,8 +97,8 @@ def top_k(
 
     Queries are the rows whose id is divisible by ``every``; candidates are all rows whose id
     is another one. Ties go to the smaller id. Vectors that are null or hold null or non-finite
-    components, or components of 2 ** 28 or more after scaling, take no part; nor do rows
-    without an id. Shorter vectors count as filled up with zeros. Rows that repeat an id are
+    components take no part; nor do rows without an id. Components of 2 ** 31 or more after
+    scaling, and scores that no long holds, raise. Shorter vectors count as filled up with zeros. Rows that repeat an id are
     candidates each, and queries each. An empty table gives no rows.
 
     Pivots are a bounded sample by a hash of the id. Every vector is keyed by its nearest
@@ -160,7 +166,7 @@ def top_k(
     seeded = annuli.mapInPandas(seed, "query_id long, pivot int, r double, least long, v binary")
     # Rows that share an id are queries of their own.
     seeded = materialize(seeded.withColumn("row", F.monotonically_increasing_id()), "search-seeds")
-    least_score = -(2**62)
+    least_score = -(2**63)
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

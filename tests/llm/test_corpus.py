@@ -108,6 +108,20 @@ def test_search_equals_brute_force(spark, annulus):
     assert got == want
 
 
+def test_search_keeps_large_components_and_raises_beyond_32_bits(spark):
+    vectors = [[2.0**23, 1.0], [-(2.0**24), 2.0], [2.0**24, -3.5], [0.5, 0.25], [2.0**25 - 1, -(2.0**25) + 1]]
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    whole = [[int(np.floor(64 * x)) for x in v] for v in vectors]
+    want = []
+    for q in range(5):
+        best = sorted((-sum(a * b for a, b in zip(whole[q], whole[c])), c) for c in range(5) if c != q)
+        want += [(q, i + 1, c, -s) for i, (s, c) in enumerate(best)]
+    assert sorted(map(tuple, vector_search.top_k(df, every=1).collect())) == want
+    beyond = spark.createDataFrame([(0, [2.0**26])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="too large"):
+        vector_search.top_k(beyond).collect()
+
+
 def test_search_with_few_rows_and_none(spark):
     schema = "vec_id long, embedding array<float>"
     one = spark.createDataFrame([(0, [1.0, 2.0]), (3, [1.0, 1.0])], schema)
@@ -165,6 +179,19 @@ def test_planted_passages_are_found_and_clean_documents_are_not(spark):
         assert len(set(here) & set(there)) >= 0.6 * len(set(here))
 
 
+@pytest.mark.parametrize("cuts", [(30,), (20, 40), (25, 30, 35)], ids=str)
+def test_passages_whose_parts_have_earlier_owners(spark, cuts):
+    """Documents 10 and 20 share 60 words; smaller documents have its parts, one has what lies around a cut."""
+    shared, rows = data.prose(77, 60), []
+    ends = [0, *cuts, 60]
+    parts = [shared[a:b] for a, b in zip(ends, ends[1:])] + [shared[cuts[0] - 12 : cuts[0] + 12]]
+    for i, words in enumerate([*parts, *[shared] * 2]):
+        doc = i + 1 if i < len(parts) else 10 * (i - len(parts) + 1)
+        rows.append((doc, " ".join([*data.prose(500 + i, 80), *words, *data.prose(600 + i, 80)]), None, None, None))
+    got = passages.repeated_passages(data.frame(spark, rows)).collect()
+    assert [(r.doc_id, r.ref_doc_id, r.start_word, r.end_word) for r in got] == [(20, 10, 80, 140)]
+
+
 def test_passages_of_awkward_rows(spark):
     got = {(r.doc_id, r.ref_doc_id) for r in passages.repeated_passages(data.frame(spark)).collect()}
     assert {(5, 2), (9, 2), (7, 2), (8, 2), (14, 2)} <= got
