@@ -79,10 +79,13 @@ def words_of(text: str) -> Words:
     script = script_table()[raw]
     at = np.flatnonzero(script)
     lowered = text.lower()
-    if len(lowered) == len(text):
-        low = np.frombuffer(lowered.encode("utf-32-le", "surrogatepass"), np.uint32)
-    else:
-        low = raw
+    if len(lowered) != len(text):
+        # Letters whose lower case has several characters are read as the first of them.
+        for letter in set(text):
+            if len(letter.lower()) > 1:
+                text = text.replace(letter, letter.lower()[0])
+        lowered = text.lower()
+    low = np.frombuffer(lowered.encode("utf-32-le", "surrogatepass"), np.uint32)
     padded = np.zeros(len(raw) + 2, np.uint32)
     padded[1:-1] = np.where(script > 0, low, 0)
     mixed = padded[at] * np.uint32(0x9E3779B1) + padded[at + 1] * np.uint32(0x85EBCA77) + padded[at + 2] * np.uint32(0xC2B2AE3D)

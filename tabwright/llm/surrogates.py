@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -111,10 +112,14 @@ def mentions(text: str) -> list[Mention]:
         again = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(parts, key=len, reverse=True))) + r")(?!\w)")
         found += [Mention(m.start(), m.end(), parts[m.group()], m.group()) for m in again.finditer(text)]
     out: list[Mention] = []
-    taken: list[tuple[int, int]] = []
+    # Starts and ends of what is taken, in order; taken stretches don't overlap.
+    starts: list[int] = []
+    ends: list[int] = []
     for m in found:
-        if all(m.end <= a or b <= m.start for a, b in taken):
-            taken.append((m.start, m.end))
+        k = bisect_right(starts, m.start)
+        if (k == 0 or ends[k - 1] <= m.start) and (k == len(starts) or m.end <= starts[k]):
+            starts.insert(k, m.start)
+            ends.insert(k, m.end)
             out.append(m)
     return sorted(out, key=lambda m: m.start)
 

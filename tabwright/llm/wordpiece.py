@@ -38,7 +38,8 @@ class Automaton:
                     ends.append(False)
                 u = v
             ends[u] = True
-        if not all(ends[v] for v in self.edges[0].values()):
+        symbols = {s for entry in entries for s in entry}
+        if not all(s in self.edges[0] and ends[self.edges[0][s]] for s in symbols):
             raise ValueError("every single symbol must be an entry")
         self.fail, self.popped = [-1] * len(self.edges), [0] * len(self.edges)
         queue = deque([0])

@@ -83,6 +83,21 @@ def test_automaton_needs_single_symbols():
         wordpiece.Automaton([(0, 1)])
 
 
+def test_automaton_refuses_a_symbol_that_is_no_entry():
+    with pytest.raises(ValueError):
+        wordpiece.Automaton([(0,), (0, 1, 0)])
+
+
+def test_lower_case_of_another_length_changes_that_letter_only():
+    plain, odd = language.words_of("HELLO Wide WORLD i"), language.words_of("HELLO Wide WORLD İ")
+    assert plain.triples.tolist() == odd.triples.tolist()
+
+
+def test_many_mentions_in_one_text():
+    text = " ".join(f"user{i}@mail.example.com" for i in range(20_000))
+    assert [m.value for m in surrogates.mentions(text)] == text.split()
+
+
 def test_word_pieces_of_documents(spark):
     vocab = set(json.load(open(bpe.vocabulary_path()))["model"]["vocab"])
     letters = bpe.byte_letters()
