@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from tabwright.llm import mixing, passages, vector_search
+from tabwright.llm import common, mixing, passages, vector_search
 from tabwright.llm.queries import QUERIES, SQL
 from tests.llm import data
 from tests.oracle import compare
@@ -179,6 +179,63 @@ def test_planted_passages_are_found_and_clean_documents_are_not(spark):
         assert len(set(here) & set(there)) >= 0.6 * len(set(here))
 
 
+def test_long_gaps_are_aligned_whatever_their_length():
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 1 << 30, 5000).astype(np.uint32)
+    y = x.copy()
+    y[1000:4000:150] = 7
+    # An insertion, so that places no longer agree, far from the seeds on either side.
+    y = np.insert(y, 1100, [1, 2])
+    ends = [(a, a if a < 1000 else a + 2) for a in (10, 980, 4010, 4990)]
+    assert passages.align(x, y, ends) == [(0, 5000, 0, 5002, 4980)]
+    # Beyond SKIP more words on one side than on the other there are two passages.
+    z = np.insert(x, 2500, rng.integers(1 << 30, 1 << 31, 3000).astype(np.uint32))
+    ends = [(a, a if a < 2500 else a + 3000) for a in (10, 2400, 2600, 4990)]
+    assert [p[:4] for p in passages.align(x, z, ends)] == [(0, 2500, 0, 2500), (2500, 5000, 5500, 8000)]
+
+
+def test_a_hot_seed_is_spread(spark, monkeypatch):
+    """A passage that most documents share, once with its seeds as hot keys and once without."""
+    shared = data.prose(31, 80)
+    rows = [(i, " ".join([*data.prose(700 + i, 60), *(shared if i % 4 else []), *data.prose(800 + i, 60)]), None, None, None) for i in range(60)]
+    want = {(i, 1, 60, 140, 60, 140, 80) for i in range(2, 60) if i % 4}
+    results = []
+    for share in (10, 10_000_000):
+        monkeypatch.setattr(common, "HOT_SHARE", share)
+        got = passages.repeated_passages(data.frame(spark, rows)).collect()
+        results.append({(r.doc_id, r.ref_doc_id, r.start_word, r.end_word, r.ref_start_word, r.ref_end_word, r.agreeing) for r in got})
+    # Seeds across the passage's end may have further references, which share the passage too.
+    assert results[0] == results[1] and want <= results[0]
+    assert {r[2:4] for r in results[0]} == {(60, 140)}
+
+
+def plain_passages(a: list[str], b: list[str]) -> bool:
+    """Whether two texts share a stretch of 50 words with 0.75 of them at the same place, by brute force."""
+    for shift in range(-len(a) + 50, len(b) - 49):
+        i = max(0, -shift)
+        n = min(len(a) - i, len(b) - i - shift)
+        same = np.cumsum([0, *(a[i + k] == b[i + shift + k] for k in range(n))])
+        if len(same) > 50 and (same[50:] - same[:-50]).max() >= 38:
+            return True
+    return False
+
+
+def test_passages_against_brute_force(spark):
+    """All pairs of texts with passages at a similarity of 0.90 and more: no false pair, and most of the pairs connected."""
+    rng = random.Random(17)
+    texts = [data.prose(6000 + i, rng.randrange(70, 120)) for i in range(36)]
+    for k in range(9):
+        passage = data.prose(6500 + k, 60)
+        for d in (4 * k, 4 * k + 1):
+            copy = list(passage)
+            for at in rng.sample(range(60), 6 if k % 3 == 0 else 2 if k % 3 == 1 else 0):
+                copy[at] = "edited" + str(at)
+            texts[d][30:30] = copy if d % 4 else passage
+    want = {(b, a) for a in range(36) for b in range(a + 1, 36) if plain_passages(texts[a], texts[b])}
+    got = {(r.doc_id, r.ref_doc_id) for r in passages.repeated_passages(data.frame(spark, [(i, " ".join(t), None, None, None) for i, t in enumerate(texts)])).collect()}
+    assert got <= want and len(want) == 9 and len(got) >= 8
+
+
 @pytest.mark.parametrize("cuts", [(30,), (20, 40), (25, 30, 35)], ids=str)
 def test_passages_whose_parts_have_earlier_owners(spark, cuts):
     """Documents 10 and 20 share 60 words; smaller documents have its parts, one has what lies around a cut."""
