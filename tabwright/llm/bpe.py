@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import heapq
 import json
@@ -11,6 +12,7 @@ from functools import lru_cache
 from typing import ClassVar
 
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -99,6 +101,21 @@ class Remembered(dict):
         return found
 
 
+def one_by_one(batches: Iterator, owner: str) -> Iterator:
+    """The batches of a task, after the memos of other operators were given back.
+
+    After each batch the worker returns free memory to the system: words of whole texts come and
+    go by the million, and the allocators would keep their pages for the life of the worker.
+    """
+    Remembered.forget_others(owner)
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    for batch in batches:
+        yield batch
+        pa.default_memory_pool().release_unused()
+        if trim is not None:
+            trim(0)
+
+
 class Encoder:
     """Chunk of a text -> (ids, vocabulary strings) of its words, each joined by one space.
 
@@ -201,8 +218,7 @@ def bpe(text: Column, path: str) -> Column:
     @F.pandas_udf("ids array<int>, decoded string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         enc = encoder(path)
-        Remembered.forget_others("bpe")
-        for batch in batches:
+        for batch in one_by_one(batches, "bpe"):
             pairs = [enc.encode(t or "") for t in batch]
             yield pd.DataFrame({"ids": [list(map(int, a.split())) for a, _ in pairs], "decoded": [b for _, b in pairs]})
 
@@ -218,8 +234,7 @@ def bpe_digest(text: Column, path: str) -> Column:
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         enc = encoder(path)
-        Remembered.forget_others("bpe")
-        for batch in batches:
+        for batch in one_by_one(batches, "bpe"):
             out = []
             for t in batch:
                 ids, decoded = enc.encode(t or "")

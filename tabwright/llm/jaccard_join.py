@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tabwright.llm.bpe import Remembered
+from tabwright.llm.bpe import Remembered, one_by_one
 from tabwright.llm.common import fresh, ship, sized
 from tabwright.llm.components import components
 from tabwright.session import materialize
@@ -103,8 +103,7 @@ def frequent_shingles(docs: DataFrame, text: Column, width: int) -> np.ndarray:
     drawn = docs.select(text.alias("data")).filter(F.pmod(F.xxhash64("data"), F.lit(scale)) < int(share * scale))
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        Remembered.forget_others("words")
-        for batch in batches:
+        for batch in one_by_one(batches, "words"):
             found = [shingles(data, width).view(np.int64) for data in batch["data"]]
             if found:
                 yield pd.DataFrame({"s": np.concatenate(found)})
@@ -118,8 +117,7 @@ def sets_table(docs: DataFrame, id_col: str, text: Column, width: int, frequent:
     """doc_id, n, cls and the prefix of every document; equal sets have equal ``cls``."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        Remembered.forget_others("words")
-        for batch in batches:
+        for batch in one_by_one(batches, "words"):
             ids, out = batch["doc_id"], []
             for data in batch["data"]:
                 s = shingles(data, width)
@@ -491,8 +489,7 @@ def whole_sets(docs: DataFrame, id_col: str, text: Column, width: int, wanted: D
     """cls and all shingles of the wanted classes (cls, doc_id), one row each."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        Remembered.forget_others("words")
-        for batch in batches:
+        for batch in one_by_one(batches, "words"):
             out = []
             for cls, data in zip(batch["cls"], batch["data"]):
                 s = shingles(data, width).tobytes()

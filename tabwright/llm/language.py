@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.bpe import Remembered
+from tabwright.llm.bpe import one_by_one
 from tabwright.llm.common import ship
 
 # Buckets of letter triples.
@@ -199,9 +199,8 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key: Co
     drawn = rows.join(F.broadcast(shares), "lang").filter(F.pmod("key", F.lit(scale)) < F.col("below")).select("text", "number")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        Remembered.forget_others("language")
         sums: dict[int, np.ndarray] = {}
-        for batch in batches:
+        for batch in one_by_one(batches, "language"):
             for text, number in zip(batch["text"], batch["number"]):
                 n = sums.setdefault(number, np.zeros(BUCKETS + N_SCRIPTS, np.int64))
                 for _, part in slices(text):
@@ -235,8 +234,7 @@ def identify(text: Column, model: Model, switch: float = SWITCH, with_spans: boo
     """
     @F.pandas_udf(SPANS)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        Remembered.forget_others("language")
-        for batch in batches:
+        for batch in one_by_one(batches, "language"):
             out, waiting, held = [], [], 0
             for text in batch:
                 waiting.append(model.word_scores(text or "") if model.langs else None)
