@@ -37,6 +37,8 @@ ROUNDS = 2
 # Bytes of sets and meetings in a block of a region, and pivots whose distances prune a block's pairs.
 REGION_BYTES = 32 << 20
 REGION_PIVOTS = 8
+# Sets that are measured together, so that a region is not held a second time.
+TOGETHER = 256
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -273,6 +275,13 @@ def distances(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     return dealt.mapInPandas(compare, "x long, p long, d double, near boolean")
 
 
+def shared_with(head: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each of some sets has in common with ``head``."""
+    cells, ends = np.concatenate(sets), np.cumsum([len(s) for s in sets])
+    at = np.minimum(np.searchsorted(head, cells), len(head) - 1)
+    return np.diff(np.append(0, np.cumsum(head[at] == cells)[ends - 1]))
+
+
 class Region:
     """Sets of one region, or of two of its blocks, that one task compares."""
 
@@ -291,12 +300,10 @@ class Region:
 
     def _measured(self) -> np.ndarray:
         """Exact distances of all sets to some pivots, each the set farthest from those before it."""
-        cells, ends = np.concatenate(self.sets), np.cumsum(self.n)
         out, pivot, nearest = [], 0, np.full(len(self.sets), np.inf)
         for _ in range(min(REGION_PIVOTS, len(self.sets))):
             head = self.sets[pivot]
-            at = np.minimum(np.searchsorted(head, cells), len(head) - 1)
-            both = np.diff(np.append(0, np.cumsum(head[at] == cells)[ends - 1]))
+            both = np.concatenate([shared_with(head, self.sets[i : i + TOGETHER]) for i in range(0, len(self.sets), TOGETHER)])
             out.append(1 - both / (self.n + len(head) - both))
             nearest = np.minimum(nearest, out[-1])
             pivot = int(nearest.argmax())
