@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tabwright.operators import boosting, folds, learn, matrix
 from tabwright.operators.boosting import FoldBoosting, Settings, Tree
+from tabwright.session import SPREAD
 
 
 def vectors(spark, x, y, k=3):
@@ -144,3 +145,52 @@ def test_odd_tables(spark):
         FoldBoosting(df.limit(0), 3, "fold", Settings())
     with pytest.raises(ValueError, match="unknown loss"):
         Settings(loss="other")
+
+
+def test_bin_numbers_take_the_way_of_the_tree():
+    """Trees whose nodes partly have no split, to every depth and for chosen rows."""
+    rng = np.random.default_rng(3)
+    code = np.asfortranarray(rng.integers(0, boosting.BINS, (500, 4)).astype(np.uint8))
+    tree = Tree.empty(4)
+    tree.feature[:15], tree.split[:15] = rng.integers(0, 4, 15), rng.integers(5, 60, 15)
+    tree.feature[[2, 4, 9, 10, 5, 6, 11, 12, 13, 14]] = [-1, 1, -1, 2, -1, -1, -1, -1, -1, -1]
+    rows = np.flatnonzero(rng.random(500) < 0.3)
+    assert np.array_equal(boosting.placed(tree, code, 4), tree.route(code))
+    assert np.array_equal(boosting.placed(tree, code, 4, rows), tree.route(code[rows]))
+
+
+def test_signs_and_rows_share_a_double():
+    rng = np.random.default_rng(4)
+    cell, sign = rng.integers(0, 7, 5000), rng.integers(-1, 2, 5000).astype(float)
+    packed = boosting.counted(cell, 2.0 * boosting.PACKED_ROWS * sign + 1.0, 8, True)[None]
+    found = boosting.unpacked(packed, True)[0]
+    assert np.array_equal(found[:, 0], np.bincount(cell, minlength=8)) and np.array_equal(found[:, 1], np.bincount(cell, sign, 8))
+
+
+def test_predictions_by_places_are_those_of_the_thresholds(skewed):
+    model = FoldBoosting(skewed, 3, "fold", Settings(**QUICK)).advance(3).models()[0]
+    x = np.random.default_rng(5).normal(size=(300, 3))
+    x[0], x[1], x[2] = np.nan, np.inf, -np.inf
+    x[3:9, 0] = [t for tree in model.trees for t, f in zip(tree.split, tree.feature) if f == 0][:6]
+    plain = model.base + sum(model.step * tree.value[tree.route(x)] for tree in model.trees)
+    assert model.predict_matrix(x) == pytest.approx(plain, abs=1e-12)
+
+
+def test_rows_of_one_file_are_dealt_to_the_cores(spark, skewed, monkeypatch):
+    """A table in one file was read by one core in every pass."""
+    monkeypatch.setattr(boosting, "TASK_ROWS", 200)
+    one, spread = skewed.coalesce(1), spark.conf.get(SPREAD)
+    spark.conf.unset(SPREAD)
+    try:
+        assert FoldBoosting(one, 3, "fold", Settings(**QUICK)).partitions > 1
+    finally:
+        spark.conf.set(SPREAD, spread)
+    assert boosting.tasks_for(one, 1500) == 8 and boosting.tasks_for(one, 100) == 1
+
+
+def test_what_reaches_the_driver_is_bounded_for_the_whole_fit(skewed, monkeypatch):
+    plain = FoldBoosting(skewed, 3, "fold", Settings(**QUICK)).advance(2)
+    monkeypatch.setattr(boosting, "DRIVER_BYTES", plain.sent // 2)
+    bounded = FoldBoosting(skewed, 3, "fold", Settings(**QUICK)).advance(2)
+    assert 0 < bounded.sent <= plain.sent // 2
+    assert all(same(a.trees, b.trees) for a, b in zip(plain.progress, bounded.progress))
