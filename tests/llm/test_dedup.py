@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabwright.llm import exact_dedup, jaccard_join, repeats
+from tabwright.llm import components, exact_dedup, jaccard_join, repeats
 from tests.llm import data
 
 
@@ -120,6 +120,28 @@ def test_regions_alone_find_all_links(spark, monkeypatch, block):
     assert Counter(map(tuple, jaccard_join.near_duplicates(data.frame(spark, rows)).collect())) == _near(rows)
 
 
+@pytest.mark.parametrize("shape", ["path", "star", "random"])
+def test_components_read_fewer_edges_in_each_round(spark, monkeypatch, shape):
+    rng, stored = np.random.default_rng(2), []
+    edges = {"path": [(i, i + 1) for i in range(300)], "star": [(i, 1000) for i in range(300)], "random": rng.integers(0, 300, (200, 2)).tolist()}[shape]
+    label = {x: x for e in edges for x in e if e[0] != e[1]}
+    for _ in label:
+        for a, b in edges:
+            if a != b:
+                label[a] = label[b] = min(label[a], label[b])
+
+    def counted(df, name, plain=components.materialize):
+        out = plain(df, name)
+        if name == "component-edges":
+            stored.append(out.count())
+        return out
+
+    monkeypatch.setattr(components, "materialize", counted)
+    got = components.components(spark.createDataFrame(edges, "u long, v long"))
+    assert {r.node: r.label for r in got.collect()} == label
+    assert stored[-1] == 0 and sum(stored) < 2 * len(edges) and len(stored) <= 6
+
+
 def test_bounds_on_shared_prefix_shingles(spark):
     rng = np.random.default_rng(1)
     rows = []
