@@ -194,6 +194,14 @@ def test_long_gaps_are_aligned_whatever_their_length():
     assert [p[:4] for p in passages.align(x, z, ends)] == [(0, 2500, 0, 2500), (2500, 5000, 5500, 8000)]
 
 
+def test_overlapping_passages_of_one_chain_are_whole():
+    rng = np.random.default_rng(5)
+    x, y = (rng.integers(0, 1 << 30, 400).astype(np.uint32) for _ in range(2))
+    y[100:170] = x[100:170]
+    y[7:62] = x[67:122] = np.append(x[67:100], x[100:122])
+    assert passages.align(x, y, [(70, 10), (98, 38), (125, 125), (160, 160)])[1][:4] == (100, 170, 100, 170)
+
+
 def test_a_hot_seed_is_spread(spark, monkeypatch):
     """A passage that most documents share, once with its seeds as hot keys and once without."""
     shared = data.prose(31, 80)
@@ -236,6 +244,24 @@ def test_passages_against_brute_force(spark):
     assert got <= want and len(want) == 9 and len(got) >= 8
 
 
+def test_passages_with_many_edits(spark):
+    """Pairs of texts with a passage of 60 words of which 0.90, 0.85 and 0.80 agree; the two of a pair have nothing else in common."""
+    rng, rows, found = random.Random(23), [], {}
+    for i in range(300):
+        passage = data.prose(20_000 + i, 60)
+        copy = list(passage)
+        for at in rng.sample(range(60), (6, 9, 12)[i % 3]):
+            copy[at] = f"edited{i}x{at}"
+        for k, words in enumerate((passage, copy)):
+            around = [data.prose(30_000 + 4 * i + 2 * k + j, rng.randrange(20, 90)) for j in range(2)]
+            rows.append((2 * i + k, " ".join([*around[0], *words, *around[1]]), None, None, None))
+    for r in passages.repeated_passages(data.frame(spark, rows)).collect():
+        if r.doc_id == r.ref_doc_id + 1 and r.ref_doc_id % 2 == 0:
+            found.setdefault(r.ref_doc_id // 2 % 3, set()).add(r.ref_doc_id)
+    shares = [len(found[k]) / 100 for k in range(3)]
+    assert shares[0] >= 0.96 and shares[1] >= 0.8 and shares[2] >= 0.57, shares
+
+
 @pytest.mark.parametrize("cuts", [(30,), (20, 40), (25, 30, 35)], ids=str)
 def test_passages_whose_parts_have_earlier_owners(spark, cuts):
     """Documents 10 and 20 share 60 words; smaller documents have its parts, one has what lies around a cut."""
