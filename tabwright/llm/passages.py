@@ -45,9 +45,7 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 def words_of(data: bytes) -> np.ndarray:
     """64-bit hashes of the words, A-Z in lower case."""
-    known = word_hashes()
-    words = data.translate(_LOWER).split()
-    return np.fromiter((known[w] for w in words), np.uint64, len(words))
+    return word_hashes(data.translate(_LOWER).split())
 
 
 def seeds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -122,6 +122,9 @@ def counter(path: str) -> Counter:
     return Counter(path)
 
 
+Remembered.loaded.append(("pieces", counter.cache_clear))
+
+
 def count_tokens(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_tokens of every row's whole text.
 

@@ -1,12 +1,13 @@
 import hashlib
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabwright.llm import components, exact_dedup, jaccard_join, repeats
+from tabwright.llm import components, exact_dedup, jaccard_join, passages, repeats
 from tests.llm import data
 
 
@@ -222,6 +223,18 @@ def test_transform_finds_the_repeated_windows():
             assert found.tolist() == [count[piece[i : i + length]] > 1 for i in range(len(piece) - length + 1)]
 
 
+def test_words_leave_nothing_in_the_worker():
+    texts = [b" ".join(b"word%d" % i for i in range(at, at + 1000)) for at in range(0, 40_000, 1000)]
+    jaccard_join.shingles(texts[0])
+    tracemalloc.start()
+    for text in texts:
+        jaccard_join.shingles(text)
+        passages.words_of(text)
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 500_000
+
+
 def test_empty_tables(spark):
     none = data.empty(spark)
     assert exact_dedup.exact_dedup(none).count() == 0

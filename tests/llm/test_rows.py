@@ -1,8 +1,10 @@
 """Operators that judge each row by itself: tokens, word pieces, languages, surrogates."""
 
+import gc
 import hashlib
 import json
 import re
+import weakref
 from collections import Counter
 
 import numpy as np
@@ -60,6 +62,18 @@ def test_memo_is_bounded_and_right(monkeypatch):
     assert not memo and not memo.older
 
 
+@pytest.mark.parametrize("load, owner", [(bpe.encoder, "bpe"), (wordpiece.counter, "pieces")])
+def test_vocabularies_are_given_back_to_other_operators(load, owner):
+    load.cache_clear()
+    held = weakref.ref(load(bpe.vocabulary_path()))
+    list(bpe.one_by_one([], owner))
+    gc.collect()
+    assert held() is load(bpe.vocabulary_path())
+    list(bpe.one_by_one([], "another"))
+    gc.collect()
+    assert held() is None
+
+
 def greedy(symbols, entries):
     n = 0
     while symbols:
