@@ -12,6 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.llm.bpe import one_by_one
 from tabwright.llm.common import ship, sized
 from tabwright.session import materialize
 
@@ -106,21 +107,26 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     for j in range(7):
         key = (key << np.uint64(9)) | padded[j : j + n]
     done = 7
-    order = np.argsort(key, kind="stable")
+    del padded
+    # What is sorted at a time is bounded, so places and ranks are 32-bit numbers.
+    order = np.argsort(key, kind="stable").astype(np.int32)
     placed = key[order]
-    rank = np.empty(n, np.int64)
-    rank[order] = np.cumsum(np.append(0, placed[1:] != placed[:-1]))
+    del key
+    new = np.append(False, placed[1:] != placed[:-1])
+    del placed
+    rank = np.empty(n, np.int32)
+    rank[order] = np.cumsum(new, dtype=np.int32)
     while done < depth:
         # Only suffixes that share their rank need another look.
         r = rank[order]
-        first = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
-        size = np.diff(np.append(first, n))
+        first = np.flatnonzero(np.append(True, r[1:] != r[:-1])).astype(np.int32)
+        size = np.diff(np.append(first, np.int32(n)))
         tied = np.repeat(size > 1, size)
         slots = np.flatnonzero(tied)
         if not len(slots):
             break
         part = order[slots]
-        later = np.zeros(len(part), np.int64)
+        later = np.zeros(len(part), np.int32)
         inside = part + done < n
         later[inside] = rank[part[inside] + done] + 1
         both = (np.repeat(first, size)[slots].astype(np.int64) << 32) | later
@@ -148,15 +154,15 @@ def common_prefix_flags(text: np.ndarray, length: int) -> tuple[np.ndarray, np.n
     """
     n = len(text)
     order = suffix_order(text, length + 1)
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
+    place = np.empty(n, np.int32)
+    place[order] = np.arange(n, dtype=np.int32)
     before = order - 1
     before[before < 0] = n - 1
     transform = text[before]
     back = place[before]
     symbols, counts = np.unique(text, return_counts=True)
-    first = np.cumsum(np.append(0, counts))[:-1]
-    at_symbol = [np.flatnonzero(transform == s) for s in symbols]
+    first, counts = np.cumsum(np.append(0, counts), dtype=np.int32)[:-1], counts.astype(np.int32)
+    at_symbol = [np.flatnonzero(transform == s).astype(np.int32) for s in symbols]
     marked = np.zeros(n + 1, bool)
     marked[0] = marked[n] = True
     lo, hi = first.copy(), first + counts
@@ -169,7 +175,7 @@ def common_prefix_flags(text: np.ndarray, length: int) -> tuple[np.ndarray, np.n
         new_lo, new_hi = [back[lo[one]]], [back[lo[one]] + 1]
         if wide.any():
             for c, at in zip(first, at_symbol):
-                a, b = np.searchsorted(at, lo[wide]), np.searchsorted(at, hi[wide])
+                a, b = (np.searchsorted(at, x[wide]).astype(np.int32) for x in (lo, hi))
                 some = a < b
                 new_lo.append(c + a[some])
                 new_hi.append(c + b[some])
@@ -223,7 +229,7 @@ def runs_table(texts: DataFrame, length: int, mark: int) -> DataFrame:
     """Runs of (th, size, text): their minimizer, a hash of their bytes, and where they are."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in one_by_one(batches, "repeats"):
             out, held = [], 0
             for th, data in zip(batch["th"].to_numpy(), batch["data"]):
                 start, windows, least, own = runs(data, length, mark)
@@ -251,7 +257,7 @@ def pieces_table(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[tuple[int, bytes]] = set()
-        for batch in batches:
+        for batch in one_by_one(batches, "repeats"):
             out = []
             for th, data, places in zip(batch["th"], batch["data"], batch["places"]):
                 known = th, xxhash.xxh3_128_digest(data)
@@ -293,7 +299,7 @@ def shared_ranges(pieces: DataFrame, length: int) -> DataFrame:
                 out += [(mark, piece, a, b) for a, b in zip(*ranges_of(found))]
             return pd.DataFrame(out, columns=["mark", "piece", "lo", "hi"])
 
-        for batch in batches:
+        for batch in one_by_one(batches, "repeats"):
             for row in zip(batch["mark"], batch["piece"], batch["part"]):
                 # Copies of a piece come from several tasks.
                 if row == last:

@@ -235,6 +235,17 @@ def test_words_leave_nothing_in_the_worker():
     assert held < 500_000
 
 
+def test_sorting_takes_a_bounded_multiple_of_the_bytes():
+    rng = np.random.default_rng(3)
+    base = rng.integers(97, 123, (200, 600), dtype=np.uint8)
+    pieces = [base[i % 200, : 300 + i % 299].tobytes() + rng.integers(97, 123, 60, dtype=np.uint8).tobytes() for i in range(800)]
+    tracemalloc.start()
+    repeats.repeated_windows(pieces, 200)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 90 * sum(map(len, pieces))
+
+
 def test_empty_tables(spark):
     none = data.empty(spark)
     assert exact_dedup.exact_dedup(none).count() == 0
