@@ -231,6 +231,9 @@ def identify(text: Column, model: Model, switch: float = SWITCH, with_spans: boo
     The language is the one whose spans hold most letters (ties: the first by name), the
     score its share of the letters. Text that is null or without letters is ``und`` with
     score 0; so is every text if the model knows no language.
+
+    Spark counts the function as not deterministic, so that a filter on the result doesn't judge every text
+    a second time, in a second worker of the same task.
     """
     @F.pandas_udf(SPANS)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -245,7 +248,7 @@ def identify(text: Column, model: Model, switch: float = SWITCH, with_spans: boo
             out += labelled(model, waiting, switch, with_spans)
             yield pd.DataFrame(out, columns=["lang_pred", "score", "spans"])
 
-    return run(text)
+    return run.asNondeterministic()(text)
 
 
 def labelled(model: Model, waiting: list, switch: float, with_spans: bool) -> list[tuple]:

@@ -307,6 +307,13 @@ def test_pipeline_stages(spark, tmp_path):
         came = kept
 
 
+def test_pipeline_judges_each_text_once(spark, capsys):
+    judged = corpus_pipeline.identify_language(spark, data.frame(spark), "")
+    capsys.readouterr()
+    judged.explain()
+    assert capsys.readouterr().out.count("ArrowEvalPython") == 1
+
+
 def test_pipeline_on_an_empty_table(spark, tmp_path):
     docs = data.empty(spark)
     for _, stage in corpus_pipeline.STAGES:

@@ -4,6 +4,7 @@ import gc
 import hashlib
 import json
 import re
+import tracemalloc
 import weakref
 from collections import Counter
 
@@ -62,6 +63,17 @@ def test_memo_is_bounded_and_right(monkeypatch):
     assert not memo and not memo.older
 
 
+def test_a_remembered_word_takes_little_room():
+    encoder = bpe.Encoder(bpe.vocabulary_path())
+    words = [hexed(str(i))[:12] for i in range(20_000)]
+    tracemalloc.start()
+    for word in words:
+        encoder.encode(word)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 250 * len(words)
+
+
 @pytest.mark.parametrize("load, owner", [(bpe.encoder, "bpe"), (wordpiece.counter, "pieces")])
 def test_vocabularies_are_given_back_to_other_operators(load, owner):
     load.cache_clear()
