@@ -1,9 +1,11 @@
 """Boosting over all folds against plain computations."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tabwright import session
 from tabwright.operators import boosting, folds, learn, matrix
 from tabwright.operators.boosting import FoldBoosting, Settings, Tree
 from tabwright.session import SPREAD
@@ -194,3 +196,42 @@ def test_what_reaches_the_driver_is_bounded_for_the_whole_fit(skewed, monkeypatc
     bounded = FoldBoosting(skewed, 3, "fold", Settings(**QUICK)).advance(2)
     assert 0 < bounded.sent <= plain.sent // 2
     assert all(same(a.trees, b.trees) for a, b in zip(plain.progress, bounded.progress))
+
+
+def test_stored_states_do_not_pile_up(skewed):
+    """Every stage left its state and the rows it came from in the shared folder."""
+    before = set(session._WRITTEN)
+    b = FoldBoosting(skewed, 3, "fold", Settings(**QUICK)).advance(2).advance(2)
+    assert [p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in set(session._WRITTEN) - before] == ["boosting-state"]
+    assert b.state.count() and b.advance(1).rounds == 5
+
+
+def test_blocks_come_one_at_a_time(spark, skewed):
+    """A task's whole part of the state came in one batch, which grew with the rows of a task."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    with session.configured(spark, {name: "50"}):
+        b = FoldBoosting(skewed.coalesce(1), 3, "fold", Settings(**QUICK))
+        sizes = lambda batches: (pa.RecordBatch.from_pydict({"n": [x.num_rows]}) for x in batches)
+        with session.configured(spark, boosting.ONE_BLOCK):
+            kept = b._step(b.state).persist()
+            got = [r.n for r in kept.mapInArrow(sizes, "n long").collect()]
+            kept.unpersist()
+        assert len(got) >= 20 and max(got) == 1
+        assert spark.conf.get(name) == "50"
+
+
+def test_the_larger_half_of_a_node_is_not_counted(skewed, monkeypatch):
+    """Its sums are those of the node less the smaller half; the trees are the same."""
+    plain = FoldBoosting(skewed, 3, "fold", Settings(**QUICK)).advance(2)
+    monkeypatch.setattr(boosting, "PASS_BYTES", 0)
+    asked, grouped = [], FoldBoosting._grouped
+
+    def noted(self, parts, key, sums, *more):
+        if key == "node":
+            asked.append(parts.groupBy("model").agg(F.count_distinct("node").alias("n")).agg(F.max("n")).first()[0])
+        return grouped(self, parts, key, sums, *more)
+
+    monkeypatch.setattr(FoldBoosting, "_grouped", noted)
+    halved = FoldBoosting(skewed, 3, "fold", Settings(**QUICK)).advance(2)
+    assert asked[:3] == [1, 1, 2]
+    assert all(same(a.trees, b.trees) for a, b in zip(plain.progress, halved.progress))
